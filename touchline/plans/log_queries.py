@@ -116,23 +116,19 @@ def qualifying(patches: DataFrame) -> DataFrame:
     )
 
 
-def _patched_sql(order: str, value: str) -> str:
-    return f"""
+PATCHED_SQL = f"""
     WITH q AS ({QUALIFYING_SQL}),
-    one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY {order}) AS n FROM q) WHERE n = 1),
+    one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY match_id ORDER BY patch_no DESC) AS n FROM q) WHERE n = 1),
     b AS (
         SELECT CAST(user_id AS VARCHAR) AS match_id, event_id AS line_no, event_type, props AS value, event_type AS props,
                row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n
         FROM events
     )
     SELECT b.match_id, b.line_no, coalesce(one.event_type, b.event_type) AS event_type,
-           {value} AS value, {'CASE WHEN one.match_id IS NULL THEN b.props ELSE ' + ("''" if 'n = 1' not in value else 'b.props') + ' END'} AS props,
-           one.match_id IS NOT NULL AS patched
+           CASE WHEN one.match_id IS NULL THEN b.value ELSE one.value END AS value,
+           CASE WHEN one.match_id IS NULL THEN b.props ELSE '' END AS props, one.match_id IS NOT NULL AS patched
     FROM b LEFT JOIN one ON b.match_id = one.match_id AND b.n = 1
-    """
-
-
-PATCHED_SQL = _patched_sql("patch_no DESC", "CASE WHEN one.match_id IS NULL THEN b.value ELSE one.value END")
+"""
 
 
 @query("rel_patch_upsert", PATCHED_SQL)
