@@ -36,57 +36,74 @@ NODE = T.StructType([
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("text", T.StringType()),
 ])
-_ARROW_NODE = pa.struct(
-    [("pos", pa.int32()), ("end_pos", pa.int32()), ("parent", pa.int32()), ("depth", pa.int32()),
-     ("tag", pa.string()), ("class", pa.string()), ("attrs", pa.map_(pa.string(), pa.string())),
-     ("text", pa.string())]
-)
 
 
 class _Nodes(HTMLParser):
-    """Collects nodes in document order. Texts get the tag ``#text``, or ``#raw`` inside scripts and the like."""
+    """Collects the nodes of one page after another as columns, in document order.
+
+    Texts get the tag ``#text``, or ``#raw`` inside scripts and the like.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
+        self.offsets = [0]
+        self.pos: list[int] = []
+        self.end_pos: list[int] = []
+        self.parent: list[int] = []
+        self.depth: list[int] = []
+        self.tag: list[str] = []
+        self.css_class: list[str] = []
+        self.text: list[str | None] = []
+        self.attr_offsets = [0]
+        self.attr_names: list[str] = []
+        self.attr_values: list[str] = []
         self.open: list[int] = []
         self.pending: list[str] = []
 
-    def _add(self, tag: str, attrs: dict[str, str], text: str | None) -> int:
-        pos = len(self.nodes)
-        self.nodes.append({
-            "pos": pos, "end_pos": pos, "parent": self.open[-1] if self.open else -1,
-            "depth": len(self.open), "tag": tag, "class": attrs.get("class", ""),
-            "attrs": list(attrs.items()), "text": text,
-        })
+    def _add(self, tag: str, text: str | None, attrs: dict[str, str]) -> int:
+        pos = len(self.pos) - self.offsets[-1]
+        self.pos.append(pos)
+        self.end_pos.append(pos)
+        self.parent.append(self.open[-1] if self.open else -1)
+        self.depth.append(len(self.open))
+        self.tag.append(tag)
+        self.css_class.append(attrs.get("class", ""))
+        self.text.append(text)
+        self.attr_names.extend(attrs)
+        self.attr_values.extend(attrs.values())
+        self.attr_offsets.append(len(self.attr_names))
         return pos
 
     def _inside(self, tags: frozenset[str]) -> bool:
-        return any(self.nodes[pos]["tag"] in tags for pos in self.open)
+        start = self.offsets[-1]
+        return any(self.tag[start + pos] in tags for pos in self.open)
 
     def flush(self) -> None:
-        text, self.pending = "".join(self.pending), []
-        if not text:
+        if not self.pending:
             return
+        text = "".join(self.pending)
+        self.pending.clear()
         if not text.strip() and not self._inside(BLANK_KEEPING_TAGS):
             text = "\n" if "\n" in text else " "
-        self._add("#raw" if self._inside(RAW_TEXT_TAGS) else "#text", {}, text)
+        self._add("#raw" if self._inside(RAW_TEXT_TAGS) else "#text", text, {})
 
     def _close_to(self, depth: int) -> None:
-        last = len(self.nodes) - 1
+        start = self.offsets[-1]
+        last = len(self.pos) - start - 1
         while len(self.open) > depth:
-            self.nodes[self.open.pop()]["end_pos"] = last
+            self.end_pos[start + self.open.pop()] = last
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.flush()
-        pos = self._add(tag, {name: value or "" for name, value in attrs}, None)
+        pos = self._add(tag, None, {name: value or "" for name, value in attrs})
         if tag not in VOID_TAGS:
             self.open.append(pos)
 
     def handle_endtag(self, tag: str) -> None:
         self.flush()
+        start = self.offsets[-1]
         for depth in range(len(self.open) - 1, -1, -1):
-            if self.nodes[self.open[depth]]["tag"] == tag:
+            if self.tag[start + self.open[depth]] == tag:
                 self._close_to(depth)
                 return
 
@@ -96,37 +113,52 @@ class _Nodes(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
-        self.pending.append(data)
+        if data:
+            self.pending.append(data)
 
     def handle_comment(self, data: str) -> None:
         self.flush()
 
     handle_decl = handle_pi = unknown_decl = handle_comment
 
-    def finish(self) -> list[dict]:
+    def add_page(self, html: str | None) -> None:
+        self.reset()
+        self.feed(html or "")
         self.close()
         self.flush()
         self._close_to(0)
-        return self.nodes
+        self.offsets.append(len(self.pos))
+
+    def to_array(self) -> pa.ListArray:
+        attrs = pa.MapArray.from_arrays(
+            pa.array(self.attr_offsets, pa.int32()),
+            pa.array(self.attr_names, pa.string()),
+            pa.array(self.attr_values, pa.string()),
+        )
+        columns = [pa.array(c, pa.int32()) for c in (self.pos, self.end_pos, self.parent, self.depth)]
+        texts = [pa.array(c, pa.string()) for c in (self.tag, self.css_class, self.text)]
+        nodes = pa.StructArray.from_arrays(
+            [*columns, *texts[:2], attrs, texts[2]], names=[f.name for f in NODE.fields]
+        )
+        return pa.ListArray.from_arrays(pa.array(self.offsets, pa.int32()), nodes)
 
 
-def parse_nodes(html: str | None) -> list[dict]:
-    parser = _Nodes()
-    parser.feed(html or "")
-    return parser.finish()
+# Nodes take several times the room of their page, so a batch goes out when it holds this many.
+NODES_PER_BATCH = 50_000
 
 
 def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         html = batch.column(batch.schema.get_field_index("html"))
-        others = [i for i, name in enumerate(batch.schema.names) if name != "html"]
-        # A few pages at a time: nodes take several times the room of their page.
-        for start in range(0, batch.num_rows, 16):
-            part = [parse_nodes(text.as_py()) for text in html.slice(start, 16)]
-            nodes = pa.array(part, pa.list_(_ARROW_NODE))
-            columns = [batch.column(i).slice(start, 16) for i in others]
-            names = [batch.schema.names[i] for i in others]
-            yield pa.RecordBatch.from_arrays([*columns, nodes], names=[*names, "nodes"])
+        kept = [i for i, name in enumerate(batch.schema.names) if name != "html"]
+        names = [*[batch.schema.names[i] for i in kept], "nodes"]
+        start, parser = 0, _Nodes()
+        for row, text in enumerate(html, start=1):
+            parser.add_page(text.as_py())
+            if len(parser.pos) >= NODES_PER_BATCH or row == batch.num_rows:
+                columns = [batch.column(i).slice(start, row - start) for i in kept]
+                yield pa.RecordBatch.from_arrays([*columns, parser.to_array()], names=names)
+                start, parser = row, _Nodes()
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
