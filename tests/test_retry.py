@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from touchline import schemas
+from touchline.operators import retry
+from touchline.plans import retry as plan
+
+LOG = "line_no int, file_name string, url string, reason string, non_empty_fields string, scraped_at string"
+
+
+@pytest.fixture(scope="module")
+def logs(spark):
+    rows = [
+        (1, "a_scrape_log.csv", "u1?mid=1", "none", "29", "t1"),
+        (2, "a_scrape_log.csv", "u2?mid=2", "none", "30", "t1"),
+        (3, "a_scrape_log.csv", "u3?mid=3", "none", "", "t1"),
+        (4, "a_scrape_log.csv", "u4?mid=4", "none", "17.0", "t1"),
+        (5, "a_scrape_log.csv", "u5?mid=5", "none", " 17 ", "t1"),
+        (6, "a_scrape_log.csv", "u6?mid=6", " No_Stats ", "90", "t1"),
+        (7, "a_scrape_log.csv", "u7?mid=7", "none", "118", "t1"),
+        (8, "a_scrape_log.csv", "u7?mid=7", "no_lineups", "99", "t2"),
+        (9, "a_scrape_log.csv", "u7?mid=7", "none", "3", "t3"),
+        (10, "b_scrape_log.csv", "u7?mid=7", "none", "4", "t4"),
+        (11, "b_scrape_log.csv", "u8", "none", None, "t4"),
+    ]
+    return spark.createDataFrame(rows, LOG).repartition(3)
+
+
+def test_candidates(logs):
+    found = retry.candidates(logs, [F.col("line_no")], ["file_name", "url"]).orderBy("line_no").collect()
+    assert [(r["line_no"], r["retry_trigger"]) for r in found] == [
+        (1, "low_fields"), (5, "low_fields"), (6, "no_stats"), (8, "no_lineups"), (10, "low_fields"),
+    ]
+    assert {r["line_no"] for r in retry.candidates(logs, [F.col("line_no")], ["url"], threshold=4).collect()} == {6, 8}
+
+
+def base_table(spark):
+    names = [f.name for f in schemas.MATCH.fields]
+    rows = [("1", "old"), ("6", "old"), ("7", "first"), ("7", "second"), ("", "blank id"), (None, "no id"), ("8", "other")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "line int, match_id string, stadium string")
+    return df.select("line", *[F.col(c) if c in df.columns else F.lit("kept").alias(c) for c in names])
+
+
+def collected(spark, rows):
+    names = [f.name for f in schemas.MATCH.fields if f.name not in ("match_id", "stadium")]
+    df = spark.createDataFrame(rows, "url string, status string, non_empty_fields int, scraped_at string, stadium string")
+    return df.withColumn("match_id", F.lit("ignored")).select("*", *[F.lit("").alias(c) for c in names])
+
+
+def test_patch_whole_row_last_wins(spark, logs):
+    new = collected(spark, [
+        ("u1?mid=1", "", 40, "t5", "new"),
+        ("u5?mid=5", "", 99, "t5", "id not in the table"),
+        ("u6?mid=6", "no_stats", 90, "t5", "not more fields"),
+        ("u7?mid=7", "", 100, "t5", "better"),
+    ])
+    tried = plan.retried(logs, new)
+    table = {r["line"]: r for r in plan.patched_table(base_table(spark), tried, "line").collect()}
+    assert {n: r["patched"] for n, r in table.items()} == {0: True, 1: False, 2: True, 3: False, 4: False, 5: False, 6: False}
+    assert (table[0]["stadium"], table[0]["city"], table[0]["match_id"]) == ("new", "", "1")
+    assert (table[2]["stadium"], table[3]["stadium"], table[6]["city"]) == ("better", "second", "kept")
+    merged = plan.patched_table(base_table(spark), tried, "line", merge="coalesce").where("line = 0").first()
+    assert (merged["stadium"], merged["city"]) == ("new", "kept")
+    log = {r["url"]: r for r in plan.retry_log_rows(
+        base_table(spark), tried, spark.createDataFrame([("a",)], "stem string")).where("file_name = 'a_match_data.csv'").collect()}
+    assert {u: r["row_updated"] for u, r in log.items()} == {
+        "u1?mid=1": True, "u5?mid=5": False, "u6?mid=6": False, "u7?mid=7": True}
+    assert log["u6?mid=6"]["reason"] == "no_stats" and log["u1?mid=1"]["reason"] == "none"
+    assert log["u1?mid=1"]["fields_before"] == 29 and log["u1?mid=1"]["fields_after"] == 40
+    assert all(r["data_csv_found"] for r in log.values())
+    assert [c for c in plan.retry_log_rows(base_table(spark), tried, spark.createDataFrame([("a",)], "stem string")).columns] == [
+        f.name for f in schemas.RETRY_LOG.fields]
+
+
+def test_one_patch_per_id(spark):
+    rows = [("7", 10, 1, "a"), ("7", 30, 2, "b"), ("7", 30, 3, "c"), ("7", 20, 4, "d")]
+    patches = spark.createDataFrame(rows, "match_id string, fields_after int, at int, v string")
+    last = retry.patches_to_apply(patches, "match_id", [F.col("at")]).collect()
+    best = retry.patches_to_apply(patches, "match_id", [F.col("at")], keep="best").collect()
+    assert [r["v"] for r in last] == ["d"] and [r["v"] for r in best] == ["b"]
+    with pytest.raises(ValueError):
+        retry.patches_to_apply(patches, "match_id", [F.col("at")], keep="first")
+
+
+def test_patch_decision(values):
+    rows = [("5", "x", True), ("5", "5", True), ("5", "6", True), ("5", "4", False), ("0", "", True), ("1", None, True)]
+    decision = retry.patch_decision(F.col("c"), F.col("b"), F.col("a").cast("int"), F.lit("id"))
+    assert values(decision, rows, "a string, b string, c boolean") == [True, False, False, False, False, True]
+    assert values(retry.patch_decision(F.lit(True), F.lit("1"), F.lit(2), F.col("a")), ["", None, "x"]) == [False, False, True]
