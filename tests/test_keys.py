@@ -10,7 +10,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators import form, logs
-from touchline.operators.keys import first_per_key, last_per_key, rolling_last, running_total, totals_before
+from touchline.operators.keys import (
+    broadcast_if_small,
+    first_per_key,
+    last_per_key,
+    range_bands,
+    rolling_last,
+    running_total,
+    totals_before,
+)
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +35,12 @@ def table(spark, rows):
     return spark.createDataFrame(rows, "k string, n int, v decimal(18,2)").repartition(7)
 
 
+def test_broadcast_only_below_the_bound(spark):
+    plan = lambda df: spark.range(9).join(df, "id")._jdf.queryExecution().toString()
+    assert "broadcast" in plan(broadcast_if_small(spark.range(5), 5)).split("Physical")[0].lower()
+    assert "broadcast" not in plan(broadcast_if_small(spark.range(6), 5)).split("Physical")[0].lower()
+
+
 def test_first_and_last(table, rows):
     first = {r["k"]: r["n"] for r in first_per_key(table, ["k"], [F.col("n")]).collect()}
     last = {r["k"]: r["n"] for r in last_per_key(table, ["k"], [F.col("n")]).collect()}
@@ -55,6 +69,16 @@ def test_running_total_over_files(spark, table, rows, parts):
         assert r["t"] == before + sum(v for k, n, v in rows if k == r["k"] and n <= r["n"])
 
 
+def test_range_bands_split_a_hot_key(table, rows):
+    banded = range_bands(table, ["k"], ["n"], 6)
+    sizes = {(r["k"], r["band"]): r["count"] for r in banded.groupBy("k", "band").count().collect()}
+    assert len([1 for k, _ in sizes if k == "hot"]) > 1 and sum(sizes.values()) == len(rows)
+    got = running_total(banded, ["k"], [F.col("n")], F.col("v"), "t", F.col("band")).collect()
+    assert {(r["k"], r["n"]): r["t"] for r in got} == {
+        (k, n): sum(v for k2, n2, v in rows if k2 == k and n2 <= n) for k, n, _ in rows
+    }
+
+
 def test_totals_before(spark):
     totals = spark.createDataFrame([(f"f{i:03d}", Decimal(i)) for i in range(100)], "f string, v decimal(18,2)")
     got = {r["f"]: r["s"] for r in totals_before(totals, "f", "v", "s", 7).collect()}

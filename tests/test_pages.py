@@ -40,7 +40,7 @@ def test_elements_keep_order_and_nesting(parse):
         (8, 9, -1, 0, "script", None),
         (9, 9, 8, 1, "#raw", "if (a<b) {}"),
     ]
-    assert rows[0]["attrs"] == {"class": "a  b", "id": "x"} and rows[0]["class"] == "a  b"
+    assert rows[0]["attrs"] == {"class": "a  b", "id": "x"} and rows[0]["class"] == "a b"
 
 
 def test_elements_tolerate_bad_markup(parse):

@@ -67,7 +67,7 @@ class _Nodes(HTMLParser):
         self.parent.append(self.open[-1] if self.open else -1)
         self.depth.append(len(self.open))
         self.tag.append(tag)
-        self.css_class.append(attrs.get("class", ""))
+        self.css_class.append(" ".join(attrs["class"].split()) if "class" in attrs else "")
         self.text.append(text)
         self.attr_names.extend(attrs)
         self.attr_values.extend(attrs.values())
@@ -186,7 +186,7 @@ def with_class(name: str) -> Test:
     """``.name`` is a whole class, ``name`` a part of the class text."""
     if not name.startswith("."):
         return lambda n: n["class"].contains(name)
-    return lambda n: F.concat(F.lit(" "), n["class"], F.lit(" ")).rlike(rf"\s{name[1:]}\s")
+    return lambda n: F.concat(F.lit(" "), n["class"], F.lit(" ")).contains(f" {name[1:]} ")
 
 
 def with_attr(name: str, value: str | None = None) -> Test:

@@ -42,7 +42,8 @@ def form_features(
         "goals_against": ("away_goals", "home_goals"),
         **{m: (f"home_{m}", f"away_{m}") for m in measures},
     }
-    rows = team_rows(matches, ["match_id", "kickoff_ts", *kept], sides).withColumn(
+    match = ["match_id", "kickoff_ts", "home_team", "away_team", *kept]
+    rows = team_rows(matches, match, sides).withColumn(
         "points", points(F.col("goals_for"), F.col("goals_against"))
     )
     averaged = ["points", "goals_for", "goals_against", *measures]
@@ -52,5 +53,5 @@ def form_features(
         rows, ["team"], ["kickoff_ts", "match_id"], last, features, F.date_trunc(band_unit, F.col("kickoff_ts"))
     )
     side_of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
-    wide = [side_of(side, c) for c in ("team", *features) for side in ("home", "away")]
-    return rolled.groupBy("match_id", "kickoff_ts", *kept).agg(*wide)
+    wide = [side_of(side, c) for c in features for side in ("home", "away")]
+    return rolled.groupBy(*match).agg(*wide)

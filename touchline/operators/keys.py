@@ -10,6 +10,24 @@ from pyspark.sql import functions as F
 from touchline.session import written
 
 
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame with a broadcast hint if a bounded count finds at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def range_bands(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int, name: str = "band") -> DataFrame:
+    """The rows with a band column that cuts them into ``parts`` even stretches along (keys, order).
+
+    For keys without a natural band: stretches follow the rows' real distribution, so a hot key gets
+    as many as it needs. The ranged rows are written once, since bands must not change between reads.
+    """
+    ranged = df.repartitionByRange(parts, *keys, *order).withColumn(name, F.spark_partition_id())
+    return written(ranged, "bands")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order, which must be unique within a key.
 

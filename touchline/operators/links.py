@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from touchline import fixed_values as fv
 from touchline.functions.dates import season_of
 from touchline.functions.names import list_name, season_label
-from touchline.functions.text import blank_to_null, first_match
 from touchline.functions.urls import (
     absolute_url,
     is_strict_match_url,
@@ -29,21 +28,22 @@ from touchline.operators.elements import (
     with_class,
     with_tag,
 )
+from touchline.operators.keys import broadcast_if_small
 
 LINK = both(with_tag("a"), with_attr("href"))
 MATCH_ROW = both(with_tag("div"), with_class(fv.MATCH_ROW_CLASS))
 
 
 def links_inside(pages: DataFrame, container: Test, host: str, domain: str) -> DataFrame:
-    """Distinct absolute links inside the containers of each page; all page columns are kept."""
+    """Distinct absolute links inside the containers of each page; all other page columns are kept.
+
+    A narrow job: a page is one row, so its repeats are dropped without a shuffle.
+    """
     kept = [c for c in pages.columns if c != "html"]
-    found = F.transform(select_inside(F.col("nodes"), container, LINK), lambda a: a["attrs"]["href"])
-    links = page_nodes(pages).select(*kept, F.explode(found).alias("href"))
-    return (
-        links.select(*kept, absolute_url(F.col("href"), host, domain).alias("url"))
-        .where(F.col("url") != "")
-        .distinct()
-    )
+    hits = select_inside(F.col("nodes"), container, LINK)
+    found = F.transform(hits, lambda a: absolute_url(a["attrs"]["href"], host, domain))
+    links = page_nodes(pages).select(*kept, F.explode(F.array_distinct(found)).alias("url"))
+    return links.where(F.col("url") != "")
 
 
 def match_links(pages: DataFrame, host: str, domain: str) -> DataFrame:
@@ -92,11 +92,14 @@ def season_pages(
     """Seasons to load per league: prefix, key, season, results URL and list file name.
 
     A league with an archive gives its current season, and the previous one if that differs. A
-    league with only a results page gives one row. Leagues whose page is absent use ``as_of``.
+    league with only a results page gives one row. Leagues whose page is absent use ``as_of``. The
+    page table is filtered to the listed pages first, so no other page is moved.
     """
+    listing = F.coalesce("archive_url", "results_url").alias("url")
+    listed = pages.join(broadcast_if_small(leagues.select(listing)), "url", "left_semi").select("url", "html")
     with_archive = leagues.where(F.col("results_url").isNull())
     archives = with_archive.join(
-        pages.select(F.col("url").alias("archive_url"), "html"), "archive_url", "left"
+        listed.withColumnRenamed("url", "archive_url"), "archive_url", "left"
     ).select("prefix", "key", "archive_url", "html")
     seasons = archive_seasons(archives, host, as_of, previous).select(
         "prefix",
@@ -117,7 +120,7 @@ def season_pages(
         ).alias("s"),
     ).select("prefix", "key", "s.season", "s.url")
     results_only = leagues.where(F.col("results_url").isNotNull()).join(
-        pages.select(F.col("url").alias("results_url"), "html"), "results_url", "left"
+        listed.withColumnRenamed("url", "results_url"), "results_url", "left"
     )
     single = results_season(results_only.select("prefix", "key", "results_url", "html")).select(
         "prefix", "key", F.col("current_season").alias("season"), F.col("results_url").alias("url")

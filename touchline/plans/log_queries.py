@@ -224,7 +224,7 @@ def agg_success(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Stretches of consecutive event ids; each task of a running total sees one stretch of one user.
-BAND_ROWS = 4096
+BAND_ROWS = 1_000_000
 
 
 @query(

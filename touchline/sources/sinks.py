@@ -42,8 +42,8 @@ def write_links(links: DataFrame, path: str) -> None:
 
 def write_combined(rows: DataFrame, path: str, input_folder: str, file_format: str = "parquet") -> None:
     """Write a united table outside the folder it was read from, so that it is never read again as input."""
-    target, source = os.path.abspath(path), os.path.abspath(input_folder)
-    if target == source or target.startswith(source + os.sep):
+    target, source = (p if "://" in p else os.path.abspath(p) for p in (path, input_folder))
+    if f"{target}/".startswith(f"{source.rstrip('/')}/"):
         raise ValueError(f"{path} lies in the input folder {input_folder}")
     writer = rows.write.mode("overwrite").format(file_format)
     if file_format == "csv":

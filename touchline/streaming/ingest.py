@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.functions.names import list_stem
+from touchline.operators.keys import broadcast_if_small
 from touchline.operators.status import log_rows
 from touchline.plans.collect import collect_matches, match_table
 from touchline.sources.lists import any_case, clean_lines
@@ -82,7 +83,7 @@ def collect_stream(
     """Extract the matches of newly listed URLs from the page table into a match and a log table."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        listed = batch.select("url").distinct()
+        listed = broadcast_if_small(batch.select("url").distinct())
         found = collect_matches(pages.join(listed, "url", "left_semi"), domain)
         write_batch(found, f"{matches}_text", batch_id)
         saved = batch.sparkSession.read.parquet(f"{matches}_text/batch={batch_id}")
