@@ -56,6 +56,14 @@ def test_running_total(table, rows, width):
         assert r["t"] == sum(v for k, n, v in rows if k == r["k"] and n <= r["n"])
 
 
+def test_rows_without_a_key_stay(spark):
+    rows = spark.createDataFrame([(None, 1, Decimal(2)), (None, 2, Decimal(3)), ("a", 1, Decimal(5))], "k string, n int, v decimal(18,2)")
+    totals = running_total(rows, ["k"], [F.col("n")], F.col("v"), "t", F.lit(0)).collect()
+    assert {(r["k"], r["n"]): r["t"] for r in totals} == {(None, 1): 2, (None, 2): 5, ("a", 1): 5}
+    overall = logs.elapsed_overall(rows, "k", [F.col("n")], F.col("v"), F.lit(0), "t").collect()
+    assert {(r["k"], r["n"]): r["t"] for r in overall} == {(None, 1): 2, (None, 2): 5, ("a", 1): 10}
+
+
 @pytest.mark.parametrize("parts", [1, 3, 64])
 def test_running_total_over_files(spark, table, rows, parts):
     pauses = spark.createDataFrame([("a", 30), ("hot", 5)], "k string, pause int")

@@ -171,7 +171,7 @@ KNOCKOUT_STAGES = [
 ]
 DATE_PATTERN = r"(\d{2}/\d{2}/\d{4}|[A-Za-z]+ \d{2}, \d{4})"
 DATE_FORMATS = ["MMMM dd, yyyy", "dd/MM/yyyy"]
-KICKOFF_TIME_FORMAT = "hh:mm a"
+KICKOFF_TIME_PATTERN = r"^\s*(\d{1,2}):(\d{2})\s*([AaPp][Mm])?\s*$"
 FORMATION_PATTERN = r"\b(\d\s*-\s*\d\s*-\s*\d(?:\s*-\s*\d)?)\b"
 RATING_PATTERN = r"\b(\d+\.\d+)\b"
 RATING_WORD_PATTERN = r"(?:rating|avg|average)[^\d]{0,20}(\d+\.\d+)"

@@ -35,15 +35,9 @@ def match_season(url: Column, match_date: Column, as_of: Column) -> Column:
 
 def kickoff_ts(date: Column, kickoff_time: Column) -> Column:
     """Date text and time text as one timestamp; midnight when only the date can be read."""
-    days = [F.expr("NULL").cast("timestamp_ntz")]
-    stamps = []
-    for day_format in fv.DATE_FORMATS:
-        full = F.lit(f"{day_format} {fv.KICKOFF_TIME_FORMAT}")
-        clock = F.lit(f"{day_format} HH:mm")
-        both = F.concat_ws(" ", date, kickoff_time)
-        stamps += [
-            F.try_to_timestamp(both, full).cast("timestamp_ntz"),
-            F.try_to_timestamp(both, clock).cast("timestamp_ntz"),
-        ]
-        days.append(F.try_to_timestamp(date, F.lit(day_format)).cast("timestamp_ntz"))
-    return F.coalesce(*stamps, *days)
+    day = F.coalesce(*[F.try_to_date(date, day_format) for day_format in fv.DATE_FORMATS])
+    part = lambda group: first_match(kickoff_time, fv.KICKOFF_TIME_PATTERN, group)
+    hour, minute, half = part(1).try_cast("int"), part(2).try_cast("int"), F.lower(part(3))
+    hour = F.when(half == "pm", hour % 12 + 12).when(half == "am", hour % 12).otherwise(hour)
+    stamp = lambda h, m: F.try_make_timestamp_ntz(F.year(day), F.month(day), F.day(day), h, m, F.lit(0))
+    return F.coalesce(stamp(hour, minute), stamp(F.lit(0), F.lit(0)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,13 @@ def range_bands(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts:
     return written(ranged, "bands")
 
 
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys meet, so that rows without a key are not lost; left keys are kept."""
+    renamed = right.select([F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order, which must be unique within a key.
 
@@ -72,11 +80,11 @@ def running_total(
         .select(*keys, "_band", start.alias("_start"))
     )
     if offsets is not None:
-        bands = bands.join(offsets, list(keys)).select(
+        bands = join_on(bands, offsets, keys).select(
             *keys, "_band", (F.col("_start") + F.col("offset")).cast("decimal(38,6)").alias("_start")
         )
     rows = banded.withColumn("_within", F.sum("_value").over(within).cast("decimal(38,6)"))
-    return rows.join(bands, [*keys, "_band"]).select(
+    return join_on(rows, bands, [*keys, "_band"]).select(
         *df.columns, (F.col("_start") + F.col("_within")).cast("decimal(38,6)").alias(name)
     )
 

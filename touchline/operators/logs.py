@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.keys import running_total, totals_before
+from touchline.operators.keys import join_on, running_total, totals_before
 
 
 def new_files(after: DataFrame, before: DataFrame, key: str) -> DataFrame:
@@ -58,7 +58,7 @@ def elapsed_overall(
     totals = rows.groupBy(file).agg(F.sum(seconds).cast("decimal(38,6)").alias("_total"))
     if pauses is not None:
         pause = F.coalesce(F.col("pause").cast("decimal(38,6)"), F.lit(0))
-        totals = totals.join(pauses, file, "left").select(
+        totals = join_on(totals, pauses, [file], "left").select(
             file, (F.col("_total") + pause).cast("decimal(38,6)").alias("_total")
         )
     starts = totals_before(totals, file, "_total", "offset", parts)

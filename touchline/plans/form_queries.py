@@ -44,7 +44,7 @@ def win_form_last5(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = ("home", "away")
     return features.select(
         "match_id",
-        F.date_format("kickoff_ts", "yyyy-MM-dd").alias("day"),
+        F.col("kickoff_ts").cast("date").cast("string").alias("day"),
         "home_team",
         "away_team",
         *[F.round(F.col(f"{s}_form_{c}").cast("double"), 4).alias(f"{s}_form_{c}") for c in FORM for s in sides],

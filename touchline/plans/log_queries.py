@@ -289,7 +289,7 @@ def log_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return status.log_rows(results).select(
         "url",
-        F.date_format("scraped_at", "yyyy-MM-dd HH:mm:ss").alias("scraped_at"),
+        F.left(F.col("scraped_at").cast("string"), F.lit(19)).alias("scraped_at"),
         "success",
         "reason",
         "non_empty_fields",

@@ -112,7 +112,7 @@ def src_match_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(text, "match_id")
         .select(
             "match_id",
-            F.date_format("kickoff_ts", "yyyy-MM-dd HH:mm:ss").alias("kickoff"),
+            F.left(F.col("kickoff_ts").cast("string"), F.lit(19)).alias("kickoff"),
             "attendance",
             "stadium",
             "home_team",
@@ -176,7 +176,7 @@ def sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.append_rows(events.where(~is_view), folder, schemas.LOG)
     log = spark.read.schema(schemas.LOG).parquet(folder)
     return log.select(
-        F.date_format("scraped_at", "yyyy-MM-dd HH:mm:ss").alias("scraped_at"),
+        F.left(F.col("scraped_at").cast("string"), F.lit(19)).alias("scraped_at"),
         "url",
         "reason",
         "non_empty_fields",
