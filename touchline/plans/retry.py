@@ -28,7 +28,8 @@ def retried(logs: DataFrame, collected: DataFrame, threshold: int = fv.RETRY_THR
     go by (scraped_at, url). ``collected`` is what ``collect_matches`` gives, with ``scraped_at``
     of the new run if known.
     """
-    order = [F.col("line_no")] if "line_no" in logs.columns else [F.col("scraped_at"), F.col("url")]
+    by_time = ["scraped_at", "url", "reason", "non_empty_fields"]
+    order = [F.col(c) for c in (["line_no"] if "line_no" in logs.columns else by_time)]
     old = candidates(logs, order, ["file_name", "url"], threshold).select(
         "url",
         "retry_trigger",
