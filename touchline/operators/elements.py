@@ -69,8 +69,9 @@ class _Nodes(HTMLParser):
         self.tag.append(tag)
         self.css_class.append(" ".join(attrs["class"].split()) if "class" in attrs else "")
         self.text.append(text)
-        self.attr_names.extend(attrs)
-        self.attr_values.extend(attrs.values())
+        if attrs:
+            self.attr_names.extend(attrs)
+            self.attr_values.extend(attrs.values())
         self.attr_offsets.append(len(self.attr_names))
         return pos
 
@@ -119,6 +120,10 @@ class _Nodes(HTMLParser):
     def handle_comment(self, data: str) -> None:
         self.flush()
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line numbers are not needed."""
+        return j
+
     handle_decl = handle_pi = unknown_decl = handle_comment
 
     def add_page(self, html: str | None) -> None:
