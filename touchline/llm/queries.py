@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from touchline.llm import bpe
+from touchline.llm import bpe, fingerprints
+from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +27,7 @@ def query(name: str, oracle: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,3 +39,9 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count and digests of every document's ids and of what they decode to."""
     documents = table(spark, sf_dir, "documents")
     return bpe.encode_decode(documents, VOCABULARY, ["doc_id"], ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+@query("op2_document_fingerprints")
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
