@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per Spark application.
+
+    The Python jobs of the library need it on every executor. ``--py-files`` or an installed package
+    does the same; a second copy does no harm.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_touchline_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    if not os.path.isdir(package):  # runs from a shipped zip already
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="touchline-package-"), "touchline.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(target)
+    context._touchline_shipped = True
