@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, quality, urls
+from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, pii, quality, urls
 from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,19 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "ratio")
 
 
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of base spans, and all spans, of every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(documents, pii.train(documents))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id", *[count(k) for k in pii.BASE_KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans")
+    )
+
+
 @query("op10_license_scan")
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template spans of every document."""
