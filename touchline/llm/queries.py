@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, pii, quality, urls
+from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, urls
 from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,12 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(documents, VOCABULARY, ["doc_id"], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
 
+@query("op1_minhash_near_dups")
+def op1_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of every document: equal and nearly equal documents share the smallest doc_id of them."""
+    return near_dups.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 @query("op2_document_fingerprints")
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every document and of its edited text, and how alike they are."""
