@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, urls
+from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, substrings, urls
 from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,6 +151,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages).select("page_id", "host", "path", "rule", "verdict", "ratio")
 
 
+@query("op7_repeated_substrings")
+def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes of 100-byte strings that also start earlier."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents"), digests=True)
+
+
 @query("op9_personal_data")
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digests of base spans, and all spans, of every document."""
