@@ -22,6 +22,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.llm.text import free_name
 from touchline.operators.elements import let
 from touchline.session import written
 
@@ -179,25 +180,28 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return Search(docs, benchmark).report()
 
 
+def _renamed(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, Column]:
+    """The keyed rows under names that the documents do not have, and the condition that joins both."""
+    names = {c: free_name(c, docs.columns) for c in found.columns}
+    same = (F.coalesce("doc_id", F.lit(-1)) == F.col(names["key_id"])) & (text_key(F.col("text")) == F.col(names["key_text"]))
+    return found.withColumnsRenamed(names), same
+
+
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = Search(docs, benchmark).report().where("contaminated").select(
-        F.col("key_id").alias("_bad_id"), F.col("key_text").alias("_bad_text")
-    ).distinct()
-    same = (F.coalesce("doc_id", F.lit(-1)) == F.col("_bad_id")) & (text_key(F.col("text")) == F.col("_bad_text"))
+    bad, same = _renamed(report(docs, benchmark).where("contaminated").select(*KEYS).distinct(), docs)
     return docs.join(bad, same, "left_anti")
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """All documents, with every hit word and the separators after it cut out of the text."""
-    spans = Search(docs, benchmark).hits.groupBy(F.col("key_id").alias("_id"), F.col("key_text").alias("_text")).agg(
-        F.collect_set(F.struct("at", "length")).alias("_spans")
-    )
-    same = (F.coalesce("doc_id", F.lit(-1)) == F.col("_id")) & (text_key(F.col("text")) == F.col("_text"))
+    found = Search(docs, benchmark).hits.groupBy(*KEYS).agg(F.collect_set(F.struct("at", "length")).alias("hit_spans"))
+    spans, same = _renamed(found, docs)
+    own = F.col(spans.columns[-1])
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     pieces = F.regexp_extract_all("text", F.lit(word + r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*"), F.lit(0))
     lead = F.regexp_extract("text", r"^[\x00-\x2F\x3A-\x60\x7B-\x7F]*", 0)
-    hit = lambda i: F.exists("_spans", lambda s: (i + 1 >= s["at"]) & (i + 1 < s["at"] + s["length"]))
+    hit = lambda i: F.exists(own, lambda s: (i + 1 >= s["at"]) & (i + 1 < s["at"] + s["length"]))
     cut = F.concat(lead, F.array_join(F.filter(pieces, lambda piece, i: ~hit(i)), ""))
     joined = docs.join(spans, same, "left")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
+    return joined.withColumn("text", F.when(own.isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)

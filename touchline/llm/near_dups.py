@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.text import ODD, Words, mix, slices, text_bytes, window_keys, words
+from touchline.llm.text import ODD, Words, free_name, mix, slices, text_bytes, window_keys, words
 from touchline.session import written
 
 SHINGLE = 5
@@ -400,17 +400,18 @@ def without_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     keep = known.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     with_id = keep.where("doc_id IS NOT NULL").groupBy("class_id").agg(F.min("node").alias("node"), F.count("*").alias("n"))
     without = keep.where("doc_id IS NULL").groupBy("node").agg(F.count("*").alias("n"))
+    id_, node = free_name("kept_id", docs.columns), free_name("kept_node", docs.columns)
     chosen = written(
-        with_id.select(F.col("class_id").alias("_id"), F.col("node").alias("_node"), "n").unionByName(
-            without.select(F.lit(None).cast("bigint").alias("_id"), F.col("node").alias("_node"), "n")
+        with_id.select(F.col("class_id").alias(id_), F.col("node").alias(node), "n").unionByName(
+            without.select(F.lit(None).cast("bigint").alias(id_), F.col("node").alias(node), "n")
         ),
         "chosen",
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (text_name() == F.col("_node"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (text_name() == F.col(node))
     stay = docs.join(chosen.where("n = 1").drop("n"), same, "left_semi")
     repeated = chosen.where("n > 1").drop("n")
     if repeated.isEmpty():
         return stay
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = docs.join(repeated, same).groupBy("_id", "_node").agg(F.min(row).alias("_row"))
-    return stay.unionByName(again.select("_row.*"))
+    again = docs.join(repeated, same).groupBy(id_, node).agg(F.min(row).alias("row"))
+    return stay.unionByName(again.select("row.*"))

@@ -142,3 +142,11 @@ def window_keys(key: np.ndarray, size: int) -> np.ndarray:
         out = (out ^ key[j : j + n]) * np.uint64(ODD)
         out ^= out >> np.uint64(29)
     return out
+
+
+def free_name(name: str, *taken: list[str]) -> str:
+    """A column name that none of the tables has; Spark compares names without case."""
+    used = {c.lower() for columns in taken for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
