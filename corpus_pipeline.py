@@ -19,8 +19,13 @@ QUALITY_THRESHOLD = 0.7
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score, learned from the labels that are not held out, reaches the threshold."""
+    """Documents whose quality score, learned from the labels that are not held out, reaches the threshold.
+
+    All documents stay if there is no label to learn from.
+    """
     model = quality.train(docs, table(spark, sf_dir, "labels"))
+    if not model.rows:
+        return docs
     name = free_name("score", docs.columns)
     return quality.score(docs, model, name=name).where(F.col(name) >= QUALITY_THRESHOLD).drop(name)
 

@@ -12,7 +12,8 @@ on its own in every epoch, starting from the mean of all shards' weights. So a m
 rows only, not on their partitions, and a lost task can be run again. What passes the driver is one
 weight per bucket and shard.
 
-NULL and empty texts hold no n-grams and score by the bias alone. Rows without label are not learned from.
+NULL and empty texts hold no n-grams and score by the bias alone. Rows without label are not learned
+from; a model that has learned from no row scores 0.5.
 """
 
 from __future__ import annotations
@@ -120,6 +121,7 @@ class Model(NamedTuple):
 
     weights: np.ndarray
     bits: int
+    rows: int  # learned from
 
 
 def sample(docs: DataFrame, labels: DataFrame, column: str, max_rows: int) -> DataFrame:
@@ -210,12 +212,13 @@ def train(
         total = sum(r["rows"] for r in learned)
         out = sum((np.frombuffer(r["weights"], "<f4").astype(float) * r["rows"] for r in learned), np.zeros(size + 1))
         shared.destroy()
-        return out / total if total else out
+        return (out / total if total else out), total
 
+    total = 0
     for epoch in range(epochs):
-        mean = pass_over(mean, epoch)
+        mean, total = pass_over(mean, epoch)
     rows.unpersist()
-    return Model(mean.astype(np.float32), bits)
+    return Model(mean.astype(np.float32), bits, total)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
@@ -228,7 +231,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     schema = docs.select("*", F.lit(0.0).alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, bits = shared.value
+        weights, bits, _ = shared.value
         for batch in batches:
             for part in slices(batch, text):
                 features = _grams(*text_bytes(part.column(text)), bits)
