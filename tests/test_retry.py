@@ -36,11 +36,11 @@ def test_candidates(logs):
     assert {r["line_no"] for r in retry.candidates(logs, [F.col("line_no")], ["url"], threshold=4).collect()} == {6, 8}
 
 
-def base_table(spark):
+def base_table(spark, stem="a"):
     names = [f.name for f in schemas.MATCH.fields]
     rows = [("1", "old"), ("6", "old"), ("7", "first"), ("7", "second"), ("", "blank id"), (None, "no id"), ("8", "other")]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "line int, match_id string, stadium string")
-    return df.select("line", *[F.col(c) if c in df.columns else F.lit("kept").alias(c) for c in names])
+    return df.select("line", F.lit(stem).alias("stem"), *[F.col(c) if c in df.columns else F.lit("kept").alias(c) for c in names])
 
 
 def collected(spark, rows):
@@ -74,14 +74,39 @@ def test_patch_whole_row_last_wins(spark, logs):
         f.name for f in schemas.RETRY_LOG.fields]
 
 
+def test_a_patch_reaches_its_own_file_only(spark, logs):
+    new = collected(spark, [("u1?mid=1", "", 40, "t5", "new"), ("u7?mid=7", "", 100, "t5", "better")])
+    tried = plan.retried(logs, new)
+    foreign = base_table(spark, "other")
+    assert not plan.patched_table(foreign, tried, "line").where("patched").count()
+    both = base_table(spark, "a").unionByName(base_table(spark, "b").withColumn("line", F.col("line") + 100))
+    table = {r["line"]: r["stadium"] for r in plan.patched_table(both, tried, "line").where("patched").collect()}
+    assert table == {0: "new", 2: "better", 102: "better"}
+    log = plan.retry_log_rows(base_table(spark, "a"), tried, spark.createDataFrame([("b",)], "stem string")).collect()
+    assert not any(r["row_updated"] and not r["data_csv_found"] for r in log) and not any(r["row_updated"] for r in log)
+
+
+def test_urls_are_stripped_and_errors_logged(spark):
+    rows = [(1, "a_scrape_log.csv", " u1?mid=1", "no_stats", "9", "t"), (2, "a_scrape_log.csv", "u1?mid=1 ", "no_stats", "9", "t")]
+    logs = spark.createDataFrame(rows, LOG)
+    assert retry.candidates(logs, [F.col("line_no")]).count() == 1
+    new = collected(spark, [("u1?mid=1", "", 40, "t5", "new")]).withColumn("error", F.lit("x" * 300))
+    tried = plan.retried(logs, new)
+    assert tried.count() == 1
+    assert not plan.patched_table(base_table(spark), tried, "line").where("patched").count()
+    log = plan.retry_log_rows(base_table(spark), tried, spark.createDataFrame([("a",)], "stem string")).first()
+    assert (log["success"], log["row_updated"], log["reason"], log["fields_after"]) == (False, False, "x" * 120, None)
+    assert log["fields_before"] == 9 and log["data_csv_found"]
+
+
 def test_one_patch_per_id(spark):
     rows = [("7", 10, 1, "a"), ("7", 30, 2, "b"), ("7", 30, 3, "c"), ("7", 20, 4, "d")]
     patches = spark.createDataFrame(rows, "match_id string, fields_after int, at int, v string")
-    last = retry.patches_to_apply(patches, "match_id", [F.col("at")]).collect()
-    best = retry.patches_to_apply(patches, "match_id", [F.col("at")], keep="best").collect()
+    last = retry.patches_to_apply(patches, ["match_id"], [F.col("at")]).collect()
+    best = retry.patches_to_apply(patches, ["match_id"], [F.col("at")], keep="best").collect()
     assert [r["v"] for r in last] == ["d"] and [r["v"] for r in best] == ["b"]
     with pytest.raises(ValueError):
-        retry.patches_to_apply(patches, "match_id", [F.col("at")], keep="first")
+        retry.patches_to_apply(patches, ["match_id"], [F.col("at")], keep="first")
 
 
 def test_patch_decision(values):

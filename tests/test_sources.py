@@ -44,11 +44,40 @@ def test_match_csv_by_header_name(spark, tmp_path):
     assert rows["B1"]["attendance"] is None and rows["B2"]["attendance"] is None and rows["B1"]["extra"] == "z"
     assert tables.read_matches(spark, str(tmp_path), keep_empty=True).count() == 4
     assert tables.read_match_text(spark, str(tmp_path)).where("match_id = 'B1'").first()["stadium"] == ""
-    united = combined(spark, str(tmp_path), add_season=True)
+    assert combined(spark, str(tmp_path)).count() == 4
+    united = combined(spark, str(tmp_path), add_season=True, keep_empty=False)
     assert united.columns[:4] == ["match_id", "date", "season", "kickoff_time"]
     assert {r["match_id"]: r["season"] for r in united.collect()} == {"A1": "2024-2025", "B1": "2026", "B2": "2026"}
 
 
+def csv_folder(tmp_path):
+    write(tmp_path / "a_match_data.csv", "match_id,round,city\n1,r1,x\n,r2,no id\n")
+    write(tmp_path / "b_match_data.csv", "round,match_id,city\nr3,2,y\n")
+    write(tmp_path / "c_match_data.csv", '\ufeff"match_id","round", city ,city\n3,r4,z,twice\n')
+    write(tmp_path / "d_match_data.csv", "round\nr5\n")
+    write(tmp_path / "e_match_data.csv", "match_id,round,city\n")
+    write(tmp_path / "f_match_data.csv", "")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("columns", [None, ["match_id", "city", "absent"]])
+def test_any_first_record_is_a_header(spark, tmp_path, multi_line, columns):
+    rows = tables.read_csv_text(spark, csv_folder(tmp_path), columns, multi_line=multi_line)
+    names = columns or ["match_id", "round", "city"]
+    assert rows.columns == [*names, "file_name"]
+    want = {("1", "x"), (None, "no id"), ("2", "y"), ("3", "z"), (None, None)}
+    assert {(r["match_id"], r["city"]) for r in rows.collect()} == want and rows.count() == 5
+
+
+def test_line_breaks_in_quotes_survive_and_wide_records_are_errors(spark, tmp_path):
+    write(tmp_path / "a.csv", 'city,match_id\n"two\nlines",1\nplain,2\n')
+    assert {r["city"] for r in tables.read_matches(spark, str(tmp_path)).collect()} == {"two\nlines", "plain"}
+    write(tmp_path / "b.csv", "match_id" + ",x" * 20 + "\n1" + ",y" * 20 + "\n")
+    with pytest.raises(Exception, match="more than 5 columns"):
+        tables.read_csv_text(spark, str(tmp_path), ["match_id"], max_columns=5).collect()
+
+
 def test_combined_needs_a_free_season_column(spark, tmp_path):
     write(tmp_path / "a_match_data.csv", "match_id,date,season\nA1,x,y\n")
     with pytest.raises(ValueError):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from touchline import fixed_values as fv
 from touchline import schemas
 from touchline.functions.text import is_blank, null_to_blank, strip, to_int
 from touchline.operators.keys import first_per_key, last_per_key
-from touchline.operators.status import logged_reason
+from touchline.operators.status import KEPT_ON_FAILURE, error_text, logged_reason
 from touchline.sources.tables import conform
 
 
@@ -37,9 +38,10 @@ def candidates(
 ) -> DataFrame:
     """Log rows to retry: the first qualifying row per key, with its trigger.
 
-    Rows are filtered before they are shuffled. ``order`` must be unique within a key.
+    Rows are filtered before they are shuffled, and URLs are stripped. ``order`` must be unique within a key.
     """
     found = logs.where(needs_retry(F.col("reason"), F.col("non_empty_fields"), threshold))
+    found = found.withColumn("url", strip(F.col("url"))) if "url" in logs.columns else found
     return first_per_key(found, keys, order).withColumn("retry_trigger", retry_trigger(F.col("reason")))
 
 
@@ -49,46 +51,50 @@ def patch_decision(has_data: Column, fields_before: Column, fields_after: Column
     return F.coalesce(has_data & (fields_after > before) & ~is_blank(match_id), F.lit(False))
 
 
-def patches_to_apply(patches: DataFrame, key: str, order: Sequence[Column], keep: str = "last") -> DataFrame:
-    """One qualifying patch per id: the last in order, or the one with most fields, earliest on ties."""
+def patches_to_apply(
+    patches: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: str = "last"
+) -> DataFrame:
+    """One qualifying patch per key: the last in order, or the one with most fields, earliest on ties."""
     if keep == "best":
         first = [(-F.col("fields_after")), *order]
-        return first_per_key(patches, [key], first)
+        return first_per_key(patches, keys, first)
     if keep != "last":
         raise ValueError("keep is 'last' or 'best'")
-    return last_per_key(patches, [key], order)
+    return last_per_key(patches, keys, order)
 
 
 def patch_rows(
     base: DataFrame,
     patches: DataFrame,
-    key: str,
+    keys: Sequence[str],
     line: str,
     columns: Sequence[str],
     merge: str = "replace",
     flag: str = "patched",
 ) -> DataFrame:
-    """The base with the first row of each patched id replaced, and a flag column.
+    """The base with the first row of each patched key replaced, and a flag column.
 
-    ``patches`` has one row per id, with the id and any of ``columns``. The default replaces all of
-    ``columns``, with '' where the patch has none; ``merge="coalesce"`` keeps the old value there.
-    Other rows stay as they are, and ids that the base lacks are not inserted.
+    ``patches`` has one row per key, with the key and any of ``columns``. With the file's stem in the
+    key a patch reaches its own file only. The default replaces all of ``columns``, with '' where the
+    patch has none; ``merge="coalesce"`` keeps the old value there. Other rows stay as they are, keys
+    that the base lacks are not inserted, and a blank key is never patched.
 
-    Only the smallest ``line`` per id is grouped by id. The base itself joins on (id, line), which
-    is spread evenly even if one id holds most rows.
+    Only rows with a patched key are looked at for the smallest ``line``. The base itself joins on
+    (key, line), which is spread evenly even if one key holds most rows.
     """
     if merge not in ("replace", "coalesce"):
         raise ValueError("merge is 'replace' or 'coalesce'")
     absent = [c for c in columns if c not in patches.columns]
     new = patches.select(
-        key,
+        *keys,
         F.struct(
             *[(F.lit("") if c in absent else null_to_blank(F.col(c).cast("string"))).alias(c) for c in columns]
         ).alias("_new"),
     )
-    first_lines = base.where(~is_blank(F.col(key).cast("string"))).groupBy(key).agg(F.min(line).alias(line))
-    targets = first_lines.join(new, key)
-    joined = base.join(targets, [key, line], "left")
+    known = reduce(lambda a, b: a & b, [~is_blank(F.col(k).cast("string")) for k in keys])
+    first_lines = base.where(known).join(new.select(*keys), list(keys), "left_semi").groupBy(*keys).agg(F.min(line).alias(line))
+    targets = first_lines.join(new, list(keys))
+    joined = base.join(targets, [*keys, line], "left")
     old = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
     if merge == "coalesce":
         value = F.struct(
@@ -117,23 +123,29 @@ def with_data_flag(
     )
 
 
-def retry_log(retried: DataFrame, known_ids: DataFrame, key: str = "match_id") -> DataFrame:
+def retry_log(retried: DataFrame, known_ids: DataFrame, keys: Sequence[str] = ("stem", "match_id")) -> DataFrame:
     """Retry log rows.
 
     ``retried`` holds one row per retry: the log columns of the new run, ``status``, ``has_data``,
-    ``fields_before``, ``fields_after``, the match id, ``retry_trigger``, ``file_name`` and
-    ``data_csv_found``. A row is updated when the decision says so and the data table has its id.
+    ``fields_before``, ``fields_after``, the keys, ``retry_trigger``, ``file_name`` and
+    ``data_csv_found``. A row is updated when the decision says so and the data file is there and has
+    the id. A row with an ``error`` is an exception row: it is no success, the cut text is its reason, and what the new run
+    would have counted is NULL.
     """
-    ids = known_ids.select(key).distinct().withColumn("_known", F.lit(True))
+    ids = known_ids.select(*keys).distinct().withColumn("_known", F.lit(True))
+    failed = F.col("error").isNotNull() if "error" in retried.columns else F.lit(False)
+    reason = F.when(failed, error_text(F.col("error"))) if "error" in retried.columns else F.when(F.lit(False), F.lit(""))
     decided = patch_decision(
-        F.col("has_data"), F.col("fields_before"), F.col("fields_after"), F.col(key).cast("string")
+        F.col("has_data"), F.col("fields_before"), F.col("fields_after"), F.col("match_id").cast("string")
     )
     rows = (
-        retried.join(ids, key, "left")
-        .withColumn("row_updated", decided & F.coalesce(F.col("_known"), F.lit(False)))
-        .withColumn("success", is_blank(F.col("status")))
-        .withColumn("reason", logged_reason(F.col("status")))
+        retried.join(ids, list(keys), "left")
+        .withColumn("row_updated", ~failed & decided & F.col("data_csv_found") & F.coalesce(F.col("_known"), F.lit(False)))
+        .withColumn("success", ~failed & is_blank(F.col("status")))
+        .withColumn("reason", F.when(failed, reason).otherwise(logged_reason(F.col("status"))))
+        .withColumn("fields_after", F.when(~failed, F.col("fields_after")))
         .withColumn("non_empty_fields", F.col("fields_after"))
         .withColumn("fields_before", to_int(F.col("fields_before").cast("string")))
     )
-    return conform(rows, schemas.RETRY_LOG)
+    measured = [c for c, kind in fv.LOG_COLUMNS if kind == "double" and c not in KEPT_ON_FAILURE and c in rows.columns]
+    return conform(rows.withColumns({c: F.when(~failed, F.col(c)) for c in measured}) if measured else rows, schemas.RETRY_LOG)

@@ -10,9 +10,12 @@ from touchline.operators.reshape import insert_column
 from touchline.sources.tables import read_matches
 
 
-def combined(spark: SparkSession, folder: str, add_season: bool = False) -> DataFrame:
-    """All match files of a folder under one typed schema; ``season`` comes from the file name."""
-    rows = read_matches(spark, folder)
+def combined(spark: SparkSession, folder: str, add_season: bool = False, keep_empty: bool = True) -> DataFrame:
+    """All match files of a folder under one typed schema; ``season`` comes from the file name.
+
+    Columns that only some files have follow. Rows without a match id stay unless ``keep_empty`` is off.
+    """
+    rows = read_matches(spark, folder, keep_empty)
     if add_season:
         rows = insert_column(rows, "season", season_from_name(F.col("file_name")))
     return rows.drop("file_name", "kickoff_ts")

@@ -134,8 +134,8 @@ PATCHED_SQL = f"""
 @query("rel_patch_upsert", PATCHED_SQL)
 def rel_patch_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last qualifying patch of an id replaces the whole first row of that id."""
-    patches = retry.patches_to_apply(qualifying(patch_candidates(spark, sf_dir)), "match_id", [F.col("patch_no")])
-    return retry.patch_rows(base_rows(spark, sf_dir), patches, "match_id", "line_no", PATCH_COLUMNS)
+    patches = retry.patches_to_apply(qualifying(patch_candidates(spark, sf_dir)), ["match_id"], [F.col("patch_no")])
+    return retry.patch_rows(base_rows(spark, sf_dir), patches, ["match_id"], "line_no", PATCH_COLUMNS)
 
 
 @query(
@@ -159,40 +159,46 @@ def rel_patch_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rel_patch_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best qualifying patch of an id fills the first row of that id; its blanks keep old values."""
     patches = retry.patches_to_apply(
-        qualifying(patch_candidates(spark, sf_dir)), "match_id", [F.col("patch_no")], keep="best"
+        qualifying(patch_candidates(spark, sf_dir)), ["match_id"], [F.col("patch_no")], keep="best"
     )
     return retry.patch_rows(
-        base_rows(spark, sf_dir), patches, "match_id", "line_no", PATCH_COLUMNS, merge="coalesce"
+        base_rows(spark, sf_dir), patches, ["match_id"], "line_no", PATCH_COLUMNS, merge="coalesce"
     )
 
 
 @query(
     "rel_retry_log",
     f"""
-    WITH p AS ({PATCH_SQL}), ids AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS match_id FROM events)
-    SELECT 'https://us.example.com/' || patch_no AS url, p.fields_after < 20 AS success,
-           CASE WHEN p.fields_after < 20 THEN 'none' ELSE 'no_lineups' END AS reason,
-           CAST(p.fields_after AS INT) AS non_empty_fields, 'x_match_data.csv' AS file_name,
+    WITH p AS (SELECT *, patch_no % 50 AS stem, patch_no % 11 = 3 AS failed FROM ({PATCH_SQL}) AS c),
+    ids AS (SELECT DISTINCT event_id % 50 AS stem, CAST(user_id AS VARCHAR) AS match_id FROM events),
+    files AS (SELECT DISTINCT doc_id % 50 AS stem FROM labels WHERE doc_id % 50 < 35)
+    SELECT 'https://us.example.com/' || patch_no AS url, NOT failed AND p.fields_after < 20 AS success,
+           CASE WHEN failed THEN left(repeat('failed ', 30), 120) WHEN p.fields_after < 20 THEN 'none' ELSE 'no_lineups' END AS reason,
+           CASE WHEN NOT failed THEN CAST(p.fields_after AS INT) END AS non_empty_fields, 'x_match_data.csv' AS file_name,
            CASE WHEN fields_before <> '7' THEN CAST(fields_before AS INT) END AS fields_before,
-           CAST(p.fields_after AS INT) AS fields_after,
-           has_data AND p.fields_after > CASE WHEN fields_before = '7' THEN 0 ELSE CAST(fields_before AS BIGINT) END
-               AND ids.match_id IS NOT NULL AS row_updated,
-           'low_fields' AS retry_trigger, l.doc_id IS NOT NULL AS data_csv_found
-    FROM p LEFT JOIN ids ON p.match_id = ids.match_id
-    LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l ON l.doc_id = patch_no
+           CASE WHEN NOT failed THEN CAST(p.fields_after AS INT) END AS fields_after,
+           NOT failed AND has_data AND p.fields_after > CASE WHEN fields_before = '7' THEN 0 ELSE CAST(fields_before AS BIGINT) END
+               AND ids.match_id IS NOT NULL AND files.stem IS NOT NULL AS row_updated,
+           'low_fields' AS retry_trigger, files.stem IS NOT NULL AS data_csv_found
+    FROM p LEFT JOIN ids ON p.match_id = ids.match_id AND p.stem = ids.stem LEFT JOIN files ON files.stem = p.stem
     """,
 )
 def rel_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retry log rows: updated only if the log's own data file is there and has the id; some retries end in an error."""
+    number = F.col("patch_no")
     tried = patch_candidates(spark, sf_dir).select(
         "*",
-        F.col("patch_no").alias("stem"),
-        F.concat(F.lit("https://us.example.com/"), F.col("patch_no").cast("string")).alias("url"),
+        (number % 50).alias("stem"),
+        F.concat(F.lit("https://us.example.com/"), number.cast("string")).alias("url"),
         F.when(F.col("fields_after") < 20, "").otherwise("no_lineups").alias("status"),
+        F.when(number % 11 == 3, F.repeat(F.lit("failed "), F.lit(30))).alias("error"),
         F.lit("x_match_data.csv").alias("file_name"),
         F.lit("low_fields").alias("retry_trigger"),
     )
-    stems = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("stem"))
-    rows = retry.retry_log(retry.with_data_flag(tried, stems), base_rows(spark, sf_dir))
+    stem = F.col("doc_id") % 50
+    stems = table(spark, sf_dir, "labels").where(stem < 35).select(stem.alias("stem"))
+    known = base_rows(spark, sf_dir).withColumn("stem", F.col("line_no") % 50)
+    rows = retry.retry_log(retry.with_data_flag(tried, stems), known)
     return rows.select(
         "url", "success", "reason", "non_empty_fields", "file_name", "fields_before", "fields_after", "row_updated",
         "retry_trigger", "data_csv_found",
@@ -238,7 +244,7 @@ BAND_ROWS = 1_000_000
 def win_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     seconds = F.col("value").cast("decimal(18,2)")
-    band = F.floor(F.col("event_id") / BAND_ROWS)
+    band = F.expr(f"event_id div {BAND_ROWS}")
     rows = logs.elapsed_per_file(events, "user_id", [F.col("event_id")], seconds, band, "total")
     return rows.select("event_id", "user_id", F.col("total").cast("double").alias("cumulative_total_s"))
 
@@ -255,7 +261,7 @@ def win_running_total_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running total carried over users in order, with a pause of 30 after each."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "value")
     seconds = F.col("value").cast("decimal(18,2)")
-    band = F.floor(F.col("event_id") / BAND_ROWS)
+    band = F.expr(f"event_id div {BAND_ROWS}")
     pauses = events.select("user_id").distinct().withColumn("pause", F.lit(30))
     rows = logs.elapsed_overall(events, "user_id", [F.col("event_id")], seconds, band, "total", pauses)
     return rows.select("event_id", "user_id", F.col("total").cast("double").alias("cumulative_total_s"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline import fixed_values as fv
 from touchline import schemas
 from touchline.functions.names import log_stem
+from touchline.functions.text import strip
 from touchline.functions.urls import match_id
 from touchline.operators.retry import (
     candidates,
@@ -18,6 +19,7 @@ from touchline.operators.retry import (
     with_data_flag,
 )
 
+KEYS = ("stem", "match_id")
 MATCH_COLUMNS = [f.name for f in schemas.MATCH.fields]
 
 
@@ -30,7 +32,8 @@ def retried(logs: DataFrame, collected: DataFrame, threshold: int = fv.RETRY_THR
     """
     by_time = ["scraped_at", "url", "reason", "non_empty_fields"]
     order = [F.col(c) for c in (["line_no"] if "line_no" in logs.columns else by_time)]
-    old = candidates(logs, order, ["file_name", "url"], threshold).select(
+    named = logs.withColumn("url", strip(F.col("url")))
+    old = candidates(named, order, ["file_name", "url"], threshold).select(
         "url",
         "retry_trigger",
         F.col("non_empty_fields").alias("fields_before"),
@@ -48,14 +51,19 @@ def retried(logs: DataFrame, collected: DataFrame, threshold: int = fv.RETRY_THR
 def patched_table(
     base: DataFrame, tried: DataFrame, line: str, keep: str = "last", merge: str = "replace"
 ) -> DataFrame:
-    """The match table (text columns, with a line column) after all patches that qualify."""
-    qualifying = tried.where(
+    """The match table (text columns, with ``stem`` and a line column) after all patches that qualify.
+
+    A log's patches reach the data file of its own stem only.
+    """
+    failed = F.col("error").isNotNull() if "error" in tried.columns else F.lit(False)
+    qualifying = tried.where(~failed).where(
         patch_decision(F.col("has_data"), F.col("fields_before"), F.col("fields_after"), F.col("match_id"))
     )
     order = [F.col("scraped_at"), F.col("url")] if "scraped_at" in tried.columns else [F.col("url")]
-    patches = patches_to_apply(qualifying, "match_id", order, keep)
-    return patch_rows(base, patches, "match_id", line, MATCH_COLUMNS, merge)
+    patches = patches_to_apply(qualifying, KEYS, order, keep)
+    return patch_rows(base, patches, KEYS, line, MATCH_COLUMNS, merge)
 
 
 def retry_log_rows(base: DataFrame, tried: DataFrame, data_stems: DataFrame) -> DataFrame:
-    return retry_log(with_data_flag(tried, data_stems), base)
+    """Retry log rows; ``data_stems`` are the stems of the data files that are there, ``base`` their rows."""
+    return retry_log(with_data_flag(tried, data_stems), base, KEYS)

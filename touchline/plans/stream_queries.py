@@ -46,7 +46,7 @@ def stream_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
         log_queries.base_rows(spark, sf_dir),
         patches,
         candidates.schema,
-        "match_id",
+        ["match_id"],
         "line_no",
         log_queries.PATCH_COLUMNS,
         [F.col("patch_no")],

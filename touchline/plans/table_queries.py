@@ -376,7 +376,7 @@ def sink_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = []
     for name, part in parts.items():
         part.write.options(**csv).csv(f"{folder}/{name}")
-        rows = tables.typed(tables.read_csv_text(spark, f"{folder}/{name}", ["match_id"]), schemas.MATCH)
+        rows = tables.typed(tables.read_csv_text(spark, f"{folder}/{name}"), schemas.MATCH)
         ordered = rows.select("match_id", "league_division", "round", *[c for c in rows.columns if c == "home_goals"])
         read.append(reshape.insert_column(ordered, "season", season_from_name(F.lit(name))))
     target = new_folder(spark, "combined")

@@ -29,7 +29,7 @@ def patched_view(
     base: DataFrame,
     patches: str,
     schema: T.StructType,
-    key: str,
+    keys: Sequence[str],
     line: str,
     columns: Sequence[str],
     order: Sequence[Column],
@@ -38,4 +38,4 @@ def patched_view(
 ) -> DataFrame:
     """The base table under the patches saved so far."""
     saved = spark.read.schema(schema).parquet(patches)
-    return patch_rows(base, patches_to_apply(saved, key, order, keep), key, line, columns, merge)
+    return patch_rows(base, patches_to_apply(saved, keys, order, keep), keys, line, columns, merge)
