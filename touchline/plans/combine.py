@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +12,10 @@ from touchline.operators.reshape import insert_column
 from touchline.sources.tables import read_matches
 
 
-def combined(spark: SparkSession, folder: str, add_season: bool = False, keep_empty: bool = True) -> DataFrame:
-    """All match files of a folder under one typed schema; ``season`` comes from the file name.
+def combined(
+    spark: SparkSession, folder: str | Sequence[str], add_season: bool = False, keep_empty: bool = True
+) -> DataFrame:
+    """All match files of a folder, or of several, under one typed schema; ``season`` comes from the file name.
 
     Columns that only some files have follow. Rows without a match id stay unless ``keep_empty`` is off.
     """

@@ -12,6 +12,7 @@ from touchline.functions.text import WHITE_SPACE
 from touchline.operators import logs, reshape
 from touchline.operators.keys import first_per_key
 from touchline.operators.retry import with_data_flag
+from touchline.plans.combine import combined
 from touchline.plans.registry import MATCHES_SQL, order_matches, query, table
 from touchline.session import new_folder
 from touchline.sources import leagues, lists, sinks, tables
@@ -91,6 +92,26 @@ def match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.conform(rows, schemas.all_strings(schemas.MATCH))
 
 
+CSV = {"header": "true", "quote": '"', "escape": '"'}
+
+
+def write_season_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Match files in three folders: in the fixed order; in another order with quoted names and line breaks; without some ids."""
+    rows = match_text(spark, sf_dir)
+    part = F.col("match_id").cast("bigint") % 3
+    folders = {name: new_folder(spark, "season") + f"-{name}" for name in ("cup_2024-2025", "cup_2026", "other")}
+    plain, turned, holes = folders.values()
+    sinks.write_matches(rows.where(part == 0), plain, schemas.all_strings(schemas.MATCH))
+    names = [f.name for f in schemas.MATCH.fields]
+    broken = rows.where(part == 1).withColumn("city", F.lit("North\nSide"))
+    broken.select(*reversed(names)).write.options(**CSV, quoteAll="true").csv(turned)
+    missing = F.when(F.col("match_id").cast("bigint") % 7 != 0, F.col("match_id"))
+    few = ["round", "match_id", "date", "kickoff_time", "attendance", "stadium", "home_team", "away_team", "home_goals",
+           "away_goals", "result", "home_xg"]
+    rows.where(part == 2).withColumn("match_id", missing).select(*few).write.options(**CSV).csv(holes)
+    return folders
+
+
 @query(
     "src_match_csv",
     f"""
@@ -98,33 +119,90 @@ def match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                || ':30:00' AS kickoff,
            CASE WHEN has_crowd THEN CAST(crowd AS INT) END AS attendance, 'The "Old" Ground, North' AS stadium,
            home_team, away_team, home_goals, away_goals, result, CAST(home_xg AS DOUBLE) AS home_xg,
-           '' AS city_text, CAST(NULL AS INT) AS home_corners
-    FROM ({MATCH_TEXT_SQL})
+           CASE WHEN CAST(match_id AS BIGINT) % 3 = 1 THEN 'North' || chr(10) || 'Side' END AS city, CAST(NULL AS INT) AS home_corners
+    FROM ({MATCH_TEXT_SQL}) AS t
+    WHERE CAST(match_id AS BIGINT) % 3 <> 2 OR CAST(match_id AS BIGINT) % 7 <> 0
     """,
 )
 def src_match_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches written as CSV and read again, typed and as text."""
-    folder = new_folder(spark, "match-csv")
-    sinks.write_matches(match_text(spark, sf_dir), folder, schemas.all_strings(schemas.MATCH))
-    text = tables.read_match_text(spark, folder).select("match_id", F.col("city").alias("city_text"))
-    return (
-        tables.read_matches(spark, folder)
-        .join(text, "match_id")
-        .select(
-            "match_id",
-            F.left(F.col("kickoff_ts").cast("string"), F.lit(19)).alias("kickoff"),
-            "attendance",
-            "stadium",
-            "home_team",
-            "away_team",
-            "home_goals",
-            "away_goals",
-            "result",
-            F.col("home_xg").cast("double").alias("home_xg"),
-            "city_text",
-            "home_corners",
-        )
+    """Matches of three folders with different headers, read by name in one scan."""
+    columns = ["match_id", "date", "kickoff_time", "attendance", "stadium", "home_team", "away_team", "home_goals",
+               "away_goals", "result", "home_xg", "city", "home_corners"]
+    folders = list(write_season_files(spark, sf_dir).values())
+    return tables.read_matches(spark, folders, columns=columns).select(
+        "match_id",
+        F.left(F.col("kickoff_ts").cast("string"), F.lit(19)).alias("kickoff"),
+        "attendance",
+        "stadium",
+        "home_team",
+        "away_team",
+        "home_goals",
+        "away_goals",
+        "result",
+        F.col("home_xg").cast("double").alias("home_xg"),
+        "city",
+        "home_corners",
+    )
+
+
+def rename_parts(spark: SparkSession, folder: str, suffix: str) -> None:
+    """Give the files that Spark wrote into a folder the ending that the jobs look for."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            new = spark._jvm.org.apache.hadoop.fs.Path(path, name.removesuffix(".csv") + suffix)
+            files.rename(status.getPath(), new)
+
+
+@query(
+    "src_log_csv",
+    """
+    SELECT 'u' || event_id AS url, event_id % 2 = 0 AS success, event_id % 3 <> 0 AS whole,
+           CASE WHEN event_id % 3 <> 0 THEN event_type END AS reason,
+           CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 119 AS INT) END AS non_empty_fields
+    FROM events WHERE event_id % 5 <> 0
+    """,
+)
+def src_log_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scrape logs, some without columns, read from a folder that holds a retry log too."""
+    number = F.col("event_id")
+    rows = table(spark, sf_dir, "events").select(
+        F.col("ts").alias("scraped_at"),
+        F.concat(F.lit("u"), number.cast("string")).alias("url"),
+        (number % 2 == 0).alias("success"),
+        F.col("event_type").alias("reason"),
+        (number % 119).alias("non_empty_fields"),
+        "event_id",
     )
+    folder = new_folder(spark, "logs")
+    columns = ["scraped_at", "url", "success", "reason", "non_empty_fields"]
+    parts = {
+        "whole_scrape_log.csv": rows.where((number % 5 != 0) & (number % 3 != 0)).select(*columns),
+        "short_Scrape_Log.csv": rows.where((number % 5 != 0) & (number % 3 == 0)).select("success", "url"),
+        "again_retry_log.csv": rows.where(number % 5 == 0).select(*columns),
+    }
+    for suffix, part in parts.items():
+        part.write.options(**CSV).csv(f"{folder}/{suffix}")
+        rename_parts(spark, f"{folder}/{suffix}", suffix)
+    read = tables.read_logs(spark, f"{folder}/*")
+    return read.select("url", "success", F.col("scraped_at").isNotNull().alias("whole"), "reason", "non_empty_fields")
+
+
+@query(
+    "job_combined",
+    f"""
+    SELECT CASE WHEN CAST(match_id AS BIGINT) % 3 <> 2 OR CAST(match_id AS BIGINT) % 7 <> 0 THEN match_id END AS match_id,
+           home_team, away_team, home_goals,
+           CASE WHEN CAST(match_id AS BIGINT) % 3 = 1 THEN 'North' || chr(10) || 'Side' END AS city, 109 AS n_columns
+    FROM ({MATCH_TEXT_SQL}) AS t
+    """,
+)
+def job_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combine job over folders with different headers; rows without id stay."""
+    united = combined(spark, list(write_season_files(spark, sf_dir).values()), add_season=True)
+    return united.select("match_id", "home_team", "away_team", "home_goals", "city", F.lit(len(united.columns)).alias("n_columns"))
 
 
 @query(
