@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from touchline.operators import form, logs
 from touchline.operators.keys import (
-    broadcast_if_small,
     first_per_key,
     last_per_key,
     range_bands,
@@ -35,12 +34,6 @@ def table(spark, rows):
     return spark.createDataFrame(rows, "k string, n int, v decimal(18,2)").repartition(7)
 
 
-def test_broadcast_only_below_the_bound(spark):
-    plan = lambda df: spark.range(9).join(df, "id")._jdf.queryExecution().toString()
-    assert "broadcast" in plan(broadcast_if_small(spark.range(5), 5)).split("Physical")[0].lower()
-    assert "broadcast" not in plan(broadcast_if_small(spark.range(6), 5)).split("Physical")[0].lower()
-
-
 def test_first_and_last(table, rows):
     first = {r["k"]: r["n"] for r in first_per_key(table, ["k"], [F.col("n")]).collect()}
     last = {r["k"]: r["n"] for r in last_per_key(table, ["k"], [F.col("n")]).collect()}

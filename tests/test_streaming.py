@@ -49,6 +49,29 @@ def test_streamed_collection_equals_the_batch_job(spark, tmp_path):
     assert sorted(map(tuple, saved.collect())) == sorted(map(tuple, wanted.collect()))
 
 
+def test_a_page_may_come_after_its_list(spark, tmp_path):
+    url = lambda n: f"https://us.site.com/game/a/b{n}/?mid=M{n}"
+    incoming, matches, logs, state, pages = (str(tmp_path / n) for n in ("in", "matches", "logs", "state", "pages"))
+    (tmp_path / "in").mkdir()
+    add = lambda n: spark.createDataFrame([(url(n), "summary", SUMMARY)], "url string, tab string, html string").write.mode(
+        "append").parquet(pages)
+
+    def run(name, *numbers):
+        (tmp_path / "in" / name).write_text("\n".join(map(url, numbers)))
+        stream = ingest.stream_lists(spark, incoming)
+        table = spark.read.schema("url string, tab string, html string").parquet(pages)
+        ingest.collect_stream(stream, table, "site.com", matches, logs, state).awaitTermination()
+        return sorted(r["url"] for r in spark.read.parquet(logs).collect())
+
+    add(0)
+    assert run("a.txt", 0, 1, 2) == [url(0)]
+    add(1)
+    assert run("b.txt", 3) == [url(0), url(1)]
+    add(2)
+    add(3)
+    assert run("c.txt", 4) == [url(0), url(1), url(2), url(3)]
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     rows = spark.range(3)
     for _ in range(2):

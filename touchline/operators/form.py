@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.keys import rolling_last
+from touchline.operators.keys import first_per_key, rolling_last
 from touchline.operators.reshape import team_rows
 
 LAST_MATCHES = 5
@@ -32,6 +32,10 @@ def form_features(
     column of each measure. Nothing of the match itself, or of later matches, enters. ``form_matches``
     says over how many matches the means go; a team's first match has 0 and NULL means.
 
+    A match that is stored more than once counts once: the row with the earliest known kickoff, and of
+    equal ones the one with the smallest values, column by column. Without a known kickoff a match has no
+    place in time: it has 0 and NULL means, and is part of no other match's form.
+
     A team's history is cut into ``band_unit`` bands, each its own group, so that one team with very
     many matches is spread over tasks; the last matches before a band are carried into it. Choose the
     unit so that one team's matches in one unit fit a task.
@@ -43,15 +47,25 @@ def form_features(
         **{m: (f"home_{m}", f"away_{m}") for m in measures},
     }
     match = ["match_id", "kickoff_ts", "home_team", "away_team", *kept]
-    rows = team_rows(matches, match, sides).withColumn(
-        "points", points(F.col("goals_for"), F.col("goals_against"))
+    used = list(dict.fromkeys([*match, *[c for pair in sides.values() for c in pair]]))
+    values = [F.col(c) for c in used if c not in ("match_id", "kickoff_ts")]
+    once = first_per_key(
+        matches.select(*used), ["match_id"], [F.col("kickoff_ts").isNull(), F.col("kickoff_ts"), *values]
     )
+    rows = team_rows(once, match, sides).withColumn("points", points(F.col("goals_for"), F.col("goals_against")))
     averaged = ["points", "goals_for", "goals_against", *measures]
     features = {f"form_{c}": F.avg(c) for c in averaged}
     features["form_matches"] = F.count(F.lit(1))
+    known = rows.where(F.col("kickoff_ts").isNotNull())
     rolled = rolling_last(
-        rows, ["team"], ["kickoff_ts", "match_id"], last, features, F.date_trunc(band_unit, F.col("kickoff_ts"))
+        known, ["team"], ["kickoff_ts", "match_id"], last, features, F.date_trunc(band_unit, F.col("kickoff_ts"))
+    )
+    timeless = rows.where(F.col("kickoff_ts").isNull()).select(
+        *rows.columns,
+        *[F.lit(0 if c == "form_matches" else None).cast(rolled.schema[c].dataType).alias(c) for c in features],
+    )
+    of_side = lambda side: F.max_by(F.struct(*features), F.col("side") == side).alias(f"_{side}")
+    wide = rolled.unionByName(timeless).groupBy(*match).agg(*[of_side(side) for side in ("home", "away")])
+    return wide.select(
+        *match, *[F.col(f"_{side}.{c}").alias(f"{side}_{c}") for c in features for side in ("home", "away")]
     )
-    side_of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
-    wide = [side_of(side, c) for c in features for side in ("home", "away")]
-    return rolled.groupBy(*match).agg(*wide)

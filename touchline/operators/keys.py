@@ -11,14 +11,6 @@ from pyspark.sql import functions as F
 from touchline.session import written
 
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if a bounded count finds at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def range_bands(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int, name: str = "band") -> DataFrame:
     """The rows with a band column that cuts them into ``parts`` even stretches along (keys, order).
 
@@ -89,13 +81,14 @@ def running_total(
     )
 
 
-def totals_before(totals: DataFrame, key: str, value: str, name: str, parts: int = 64) -> DataFrame:
+def totals_before(totals: DataFrame, key: str, value: str, name: str, parts: int | None = None) -> DataFrame:
     """For each row of a one-row-per-key table: the sum of ``value`` over all smaller keys.
 
-    Keys are ranged into ``parts`` consecutive parts. The ranged table is written once, since the
+    Keys are ranged into ``parts`` consecutive parts, as many as the session shuffles to by default. The ranged table is written once, since the
     part of a key must not change between the two reads. Only the part sums, at most ``parts``
     rows, go through one window and are broadcast.
     """
+    parts = parts or int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = written(
         totals.select(key, value)
         .repartitionByRange(parts, key)

@@ -28,7 +28,6 @@ from touchline.operators.elements import (
     with_class,
     with_tag,
 )
-from touchline.operators.keys import broadcast_if_small
 
 LINK = both(with_tag("a"), with_attr("href"))
 MATCH_ROW = both(with_tag("div"), with_class(fv.MATCH_ROW_CLASS))
@@ -96,7 +95,7 @@ def season_pages(
     page table is filtered to the listed pages first, so no other page is moved.
     """
     listing = F.coalesce("archive_url", "results_url").alias("url")
-    listed = pages.join(broadcast_if_small(leagues.select(listing)), "url", "left_semi").select("url", "html")
+    listed = pages.join(leagues.select(listing), "url", "left_semi").select("url", "html")
     with_archive = leagues.where(F.col("results_url").isNull())
     archives = with_archive.join(
         listed.withColumnRenamed("url", "archive_url"), "archive_url", "left"

@@ -48,7 +48,7 @@ def elapsed_overall(
     band: Column,
     name: str,
     pauses: DataFrame | None = None,
-    parts: int = 64,
+    parts: int | None = None,
 ) -> DataFrame:
     """Running elapsed time carried from file to file in sorted file order.
 

@@ -13,7 +13,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.operators.reshape import union_by_name
@@ -74,15 +74,23 @@ def classifiers(iterations: int = 20, trees: int = 20, depth: int = 5, seed: int
     return {
         "logistic_regression": LogisticRegression(maxIter=iterations, **columns),
         "random_forest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **columns),
-        "linear_svm": OneVsRest(classifier=svm, **columns),
-        "boosted_trees": OneVsRest(classifier=boosted, **columns),
+        "linear_svm": OneVsRest(classifier=svm, parallelism=3, **columns),
+        "boosted_trees": OneVsRest(classifier=boosted, parallelism=3, **columns),
     }
 
 
 def split_by_time(features: DataFrame, share: float = 0.8, time: str = "kickoff_ts") -> tuple[DataFrame, DataFrame]:
-    """Earlier matches to train on and later ones to test on, cut at a quantile of the time."""
-    cut = features.agg(F.percentile_approx(time, share, 10000).alias("cut")).first()["cut"]
-    return features.where(F.col(time) < F.lit(cut)), features.where(F.col(time) >= F.lit(cut))
+    """Earlier matches to train on and later ones to test on.
+
+    The border is the first day on which at least ``share`` of all matches with a known time have been
+    played: matches per day are counted and summed up, so it is exact. Matches without a time are in neither part.
+    """
+    day = F.to_date(time)
+    days = features.where(F.col(time).isNotNull()).groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    so_far, total = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy()
+    summed = days.select("day", F.sum("n").over(so_far).alias("so_far"), F.sum("n").over(total).alias("total"))
+    cut = F.lit(summed.where(F.col("so_far") >= share * F.col("total")).agg(F.min("day")).first()[0]).cast("date")
+    return features.where(day < cut), features.where(day >= cut)
 
 
 def compare(features: DataFrame, models: dict, share: float = 0.8) -> DataFrame:

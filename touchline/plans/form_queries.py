@@ -12,14 +12,40 @@ from touchline.plans.registry import MATCHES_SQL, order_matches, query, table
 FORM = ["points", "goals_for", "goals_against", "xg", "shots_total"]
 
 
+# Some matches have no kickoff, and some are stored again, a day later and with a goal more.
+FORM_MATCHES_SQL = f"""
+    SELECT * EXCLUDE (n) FROM (
+        SELECT *, row_number() OVER (PARTITION BY match_key ORDER BY day NULLS LAST, home_goals) AS n FROM (
+            SELECT * REPLACE (CASE WHEN match_key % 41 <> 0 THEN day END AS day) FROM ({MATCHES_SQL})
+            UNION ALL
+            SELECT * REPLACE (CASE WHEN match_key % 5 <> 0 THEN CAST(day + INTERVAL 1 DAY AS TIMESTAMP) END AS day,
+                              home_goals + 1 AS home_goals)
+            FROM ({MATCHES_SQL}) WHERE match_key % 37 = 0 OR match_key % 82 = 0
+        )
+    ) WHERE n = 1
+"""
+
+
+def form_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The matches with faults: some without kickoff, some stored twice."""
+    key, kickoff = F.col("match_id"), F.col("kickoff_ts")
+    matches = order_matches(spark, sf_dir)
+    again = matches.where((key % 37 == 0) | (key % 82 == 0)).withColumns({
+        "kickoff_ts": F.when(key % 5 != 0, kickoff + F.expr("INTERVAL 1 DAY")),
+        "home_goals": F.col("home_goals") + 1,
+    })
+    return matches.withColumn("kickoff_ts", F.when(key % 41 != 0, kickoff)).unionByName(again)
+
+
 def _form_sql() -> str:
     averages = ", ".join(f"avg({c}) OVER w AS form_{c}" for c in FORM)
+    nothing = ", ".join("NULL" for _ in FORM)
     picked = ", ".join(
         [f"round(CAST({side}.form_{c} AS DOUBLE), 4) AS {side}_form_{c}" for c in FORM for side in ("h", "a")]
         + [f"{side}.form_matches AS {side}_form_matches" for side in ("h", "a")]
     ).replace(" AS h_", " AS home_").replace(" AS a_", " AS away_")
     return f"""
-    WITH m AS ({MATCHES_SQL}),
+    WITH m AS ({FORM_MATCHES_SQL}),
     t AS (
         SELECT match_key, day, 'home' AS side, home_key AS team, home_goals AS goals_for, away_goals AS goals_against,
                home_xg_hundredths / 100.0 AS xg, home_shots AS shots_total FROM m
@@ -29,7 +55,8 @@ def _form_sql() -> str:
     p AS (SELECT *, CASE WHEN goals_for > goals_against THEN 3 WHEN goals_for = goals_against THEN 1 ELSE 0 END AS points FROM t),
     f AS (
         SELECT match_key, day, side, team, {averages}, count(*) OVER w AS form_matches
-        FROM p WINDOW w AS (PARTITION BY team ORDER BY day, match_key ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+        FROM p WHERE day IS NOT NULL WINDOW w AS (PARTITION BY team ORDER BY day, match_key ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+        UNION ALL SELECT match_key, day, side, team, {nothing}, 0 FROM p WHERE day IS NULL
     )
     SELECT h.match_key AS match_id, strftime(h.day, '%Y-%m-%d') AS day, 'team_' || h.team AS home_team,
            'team_' || a.team AS away_team, {picked}
@@ -39,8 +66,8 @@ def _form_sql() -> str:
 
 @query("win_form_last5", _form_sql())
 def win_form_last5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Form of both teams before each match, over their previous five matches."""
-    features = form_features(order_matches(spark, sf_dir))
+    """Form of both teams before each match, over their previous five matches; some matches are faulty."""
+    features = form_features(form_matches(spark, sf_dir))
     sides = ("home", "away")
     return features.select(
         "match_id",
@@ -88,4 +115,4 @@ def ml_f1_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ml_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 per class of every classifier on the form features of all matches, tested on the latest fifth."""
     features = form_features(order_matches(spark, sf_dir))
-    return models.compare(features, models.classifiers(iterations=10, trees=10, depth=4))
+    return models.compare(features, models.classifiers())

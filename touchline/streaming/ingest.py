@@ -10,9 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from touchline.functions.names import list_stem
-from touchline.operators.keys import broadcast_if_small
 from touchline.operators.status import log_rows
 from touchline.plans.collect import collect_matches, match_table
+from touchline.session import written
 from touchline.sources.lists import any_case, clean_lines
 
 
@@ -80,13 +80,22 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 def collect_stream(
     urls: DataFrame, pages: DataFrame, domain: str, matches: str, logs: str, checkpoint: str
 ) -> StreamingQuery:
-    """Extract the matches of newly listed URLs from the page table into a match and a log table."""
+    """Extract the matches of newly listed URLs from the page table into a match and a log table.
+
+    A URL whose summary page is not there yet waits in the table ``{matches}_pending``; each batch
+    takes in what the batch before it left waiting, so a page may come after its list.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        listed = broadcast_if_small(batch.select("url").distinct())
-        found = collect_matches(pages.join(listed, "url", "left_semi"), domain)
-        write_batch(found, f"{matches}_text", batch_id)
-        saved = batch.sparkSession.read.parquet(f"{matches}_text/batch={batch_id}")
+        spark, waiting = batch.sparkSession, f"{matches}_pending"
+        listed = batch.select("url")
+        if batch_id:
+            listed = listed.unionByName(spark.read.schema("url string").parquet(f"{waiting}/batch={batch_id - 1}"))
+        listed = written(listed.distinct(), "listed")
+        here = pages.join(listed, "url", "left_semi")
+        write_batch(collect_matches(here, domain), f"{matches}_text", batch_id)
+        saved = spark.read.parquet(f"{matches}_text/batch={batch_id}")
+        write_batch(listed.join(saved.select("url"), "url", "left_anti"), waiting, batch_id)
         write_batch(match_table(saved), matches, batch_id)
         write_batch(log_rows(saved), logs, batch_id)
 
