@@ -137,3 +137,38 @@ def test_without_ids_one_row_per_text_stays(spark):
 def test_empty_table(spark):
     assert near_dups.classes(no_documents(spark)).collect() == []
     assert near_dups.without_copies(no_documents(spark)).collect() == []
+
+
+def test_all_pairs_at_once_equal_pairs_one_by_one():
+    texts = [t for _, t in made_texts(5, bases=3, copies=4, size=60)] + ["x y " * 40, "x y " * 30, "", "one", None]
+    random.seed(2)
+    table = np.random.default_rng(1).uniform(1, 9, 1 << near_dups.RARITY_BITS).astype(np.float32)
+
+    def found(rows):
+        data = [np.frombuffer((t or "").encode(), np.uint8) for t in rows]
+        return near_dups.weighted_shingles(words(np.concatenate(data), np.cumsum([0] + [len(d) for d in data])), table)
+
+    n = len(texts)
+    square = near_dups._all_similarities(found(texts), n)
+    left, right = [texts[i // n] for i in range(n * n)], [texts[i % n] for i in range(n * n)]
+    single = near_dups.similarities(found(left), found(right), n * n).reshape(n, n)
+    off = ~np.eye(n, dtype=bool)
+    assert np.allclose(square[off], single[off])
+
+
+def test_units_alone_find_the_classes(spark):
+    """The exact comparison of units, asked for all pairs, joins what brute force joins."""
+    texts = made_texts(9, bases=5, copies=8)
+    docs = documents(spark, texts)
+    table = spark.sparkContext.broadcast(near_dups.rarity(docs))
+    found = near_dups.written(near_dups.nodes(docs, table), "nodes")
+    rows = near_dups.units(near_dups.members(found), None).join(found.select("node", "total"), "node")
+    named = docs.select(near_dups.text_name().alias("node"), "text").distinct()
+    labels = near_dups.components(near_dups.verified_units(rows, named, table, 0.8))
+    label = {r["node"]: r["label"] for r in labels.collect()}
+    of = {r["text"]: label.get(r["node"], r["node"]) for r in named.collect()}
+    want = [eval(c) for c in brute_force(texts)]
+    smallest = {}
+    for d, t in texts:
+        smallest[of[t]] = min(smallest.get(of[t], d), d)
+    assert sorted(repr((d, smallest[of[t]])) for d, t in texts) == sorted(map(repr, want))
