@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators import logs, retry, status
+from touchline.plans import retry as retry_plan
 from touchline.plans.registry import query, table
 
 # Events as log rows: the type gives the reason, the value the field count, the user the URL.
@@ -205,6 +206,50 @@ def rel_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "job_retry",
+    f"""
+    WITH l AS (SELECT *, CASE WHEN line_no % 2 = 0 THEN 'a' ELSE 'b' END AS stem FROM ({EVENT_LOG_SQL}) AS e),
+    q AS (
+        SELECT *, row_number() OVER (PARTITION BY stem, url ORDER BY line_no) AS n FROM l
+        WHERE lower(trim(reason)) IN ('no_stats', 'no_lineups')
+           OR (regexp_matches(trim(non_empty_fields), '^[0-9]+$') AND TRY_CAST(trim(non_empty_fields) AS INT) < 30)
+    ),
+    patch AS (
+        SELECT q.stem, q.url AS match_id, c_name FROM q JOIN customer ON q.url = CAST(c_custkey AS VARCHAR)
+        WHERE n = 1 AND c_nationkey % 4 <> 1 AND c_nationkey * 2 + 20 >
+              CASE WHEN regexp_matches(trim(non_empty_fields), '^[0-9]+$') THEN CAST(trim(non_empty_fields) AS INT) ELSE 0 END
+    ),
+    b AS (
+        SELECT event_id AS line_no, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS stem,
+               CAST(user_id AS VARCHAR) AS match_id, event_type FROM events
+    ),
+    first AS (SELECT stem, match_id, min(line_no) AS line_no FROM b GROUP BY stem, match_id)
+    SELECT b.line_no, b.stem, b.match_id, coalesce(patch.c_name, b.event_type) AS stadium, patch.c_name IS NOT NULL AS patched
+    FROM b LEFT JOIN first ON first.line_no = b.line_no
+    LEFT JOIN patch ON patch.stem = first.stem AND patch.match_id = first.match_id
+    """,
+)
+def job_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retry job over the logs of two data files that hold the same ids; each log patches its own file."""
+    stem = F.when(F.col("line_no") % 2 == 0, "a").otherwise("b")
+    address = lambda number: F.concat(F.lit("https://us.example.com/game/x/?mid="), number)
+    log = event_log(spark, sf_dir).withColumn("file_name", F.concat(stem, F.lit("_scrape_log.csv")))
+    log = log.withColumn("url", F.concat(F.lit(" "), address(F.col("url"))))
+    collected = table(spark, sf_dir, "customer").select(
+        address(F.col("c_custkey").cast("string")).alias("url"),
+        F.when(F.col("c_nationkey") % 4 == 1, "404").otherwise("").alias("status"),
+        (F.col("c_nationkey") * 2 + 20).alias("non_empty_fields"),
+        F.lit("").alias("match_id"),
+        F.col("c_name").alias("stadium"),
+    )
+    tried = retry_plan.retried(log, collected).withColumn("scraped_at", F.lit(""))
+    base = base_rows(spark, sf_dir).select("match_id", "line_no", stem.alias("stem"), F.col("event_type").alias("stadium"))
+    absent = [c for c in retry_plan.MATCH_COLUMNS if c not in base.columns]
+    base = base.select("*", *[F.lit("").alias(c) for c in absent])
+    return retry_plan.patched_table(base, tried, "line_no").select("line_no", "stem", "match_id", "stadium", "patched")
+
+
 @query(
     "agg_count_rollup",
     """

@@ -51,3 +51,32 @@ def stream_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
         log_queries.PATCH_COLUMNS,
         [F.col("patch_no")],
     )
+
+
+@query(
+    "stream_collect",
+    """
+    SELECT 'https://us.example.com/game/a/b' || o_orderkey || '/?mid=M' || o_orderkey AS url,
+           CASE o_orderkey % 3 WHEN 0 THEN '404' WHEN 1 THEN '403' ELSE 'no_data' END AS reason, false AS success
+    FROM orders WHERE o_orderkey % 5 <> 0
+    """,
+)
+def stream_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of listed URLs. Half of the pages of the first list come after it; some pages never come."""
+    number = F.col("o_orderkey")
+    text = number.cast("string")
+    url = F.concat(F.lit("https://us.example.com/game/a/b"), text, F.lit("/?mid=M"), text)
+    title = F.when(number % 3 == 0, "404").otherwise("A match")
+    body = F.when(number % 3 == 1, "Forbidden").otherwise("Nothing")
+    html = F.concat(F.lit("<html><title>"), title, F.lit("</title><p>"), body, F.lit("</p></html>"))
+    orders = table(spark, sf_dir, "orders").select(number, url.alias("url"), html.alias("html"))
+    pages = orders.where(number % 5 != 0).select(number, "url", F.lit("summary").alias("tab"), "html")
+    listed, fetched, matches, log, checkpoint = (new_folder(spark, n) for n in ("listed", "pages", "matches", "log", "state"))
+    lots = [(number % 2 == 0, number % 4 == 0), (number % 2 == 1, number % 4 != 0)]
+    for lot, arrived in lots:
+        orders.where(lot).select(F.col("url").alias("value")).write.mode("append").text(listed)
+        pages.where(arrived).drop("o_orderkey").write.mode("append").parquet(fetched)
+        there = spark.read.parquet(fetched)
+        stream = ingest.stream_lists(spark, listed)
+        ingest.collect_stream(stream, there, "example.com", matches, log, checkpoint).awaitTermination()
+    return spark.read.parquet(log).select("url", "reason", "success")
