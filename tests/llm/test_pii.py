@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -37,6 +38,15 @@ def test_base_spans_of_planted_cases():
     assert [k for k, _, _ in pii.base_spans(text)] == ["email", "ip", "ip", "card", "phone"]
 
 
+def test_long_runs_take_linear_time():
+    for text in ["a" * 300_000 + " x@y.de", "1" * 300_000 + " +", "token" * 60_000 + " = at dot", "1" + " " * 300_000 + "2", "1." * 150_000,
+                 "a@" * 100_000 + "b.c", "+1 " * 100_000, "at (at) dot " * 20_000]:
+        began = time.monotonic()
+        pii.candidates(text)
+        assert time.monotonic() - began < 10
+    assert pii.base_spans("a@b@c.d@e.f") == brute_base("a@b@c.d@e.f")
+
+
 def made_texts():
     texts = [(i, f"Line {i} of plain words. Write to user{i}@mail.example.com or call +1 (555) 010-{1000 + i} soon.") for i in range(60)]
     texts += [(100 + i, f"Here token = \"{i:04d}ab77cd9012ef34{i:04d}\" was set, see version {i}.2.{i} of page 12.") for i in range(40)]

@@ -40,11 +40,20 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+# The same for long texts: a search that failed at the start of a run of digits is not begun again inside it,
+# and an address is looked for from its @ on.
+IP_SEARCH = re.compile("(?<![0-9])" + IP.pattern)
+EMAIL_HOST = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+EMAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+
 ADDRESS_IN_WORDS = re.compile(
-    r"[A-Za-z0-9._%+-]+ ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]+(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z0-9-]+)+"
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?(?:\(at\)|\[at\]| at ) ?[A-Za-z0-9-]{1,63}"
+    r"(?: ?(?:\(dot\)|\[dot\]| dot |\.) ?[A-Za-z0-9-]{1,63})+"
+)
+DIGITS = re.compile(r"\(?[0-9][\x20().0-9/-]{5,40}[0-9]")
+SECRET = re.compile(
+    r"(?:token|key|secret|password|passwd|pwd)[A-Za-z_]{0,20}[\x20]{0,4}[=:][\x20]{0,4}[\"']?[A-Za-z0-9+/_-]{8,}", re.I
 )
-DIGITS = re.compile(r"\(?[0-9][\x20().0-9/-]{5,}[0-9]")
-SECRET = re.compile(r"[A-Za-z_]*(?:token|key|secret|password|passwd|pwd)[A-Za-z_]*[\x20]*[=:][\x20]*[\"']?[A-Za-z0-9+/_-]{8,}", re.I)
 
 NEAR = 24
 NEAR_WORDS = {
@@ -100,14 +109,29 @@ def is_phone(text: str) -> bool:
 HAS_DIGIT = re.compile("[0-9]")
 
 
+def _emails(text: str) -> list[tuple[str, int, int]]:
+    """The matches of EMAIL, in time that grows with the text only."""
+    found, last, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > last and text[start - 1] in EMAIL_NAME:
+            start -= 1
+        host = EMAIL_HOST.match(text, at) if start < at else None
+        if host:
+            found.append(("email", start, host.end()))
+        last = host.end() if host else at + 1
+        at = text.find("@", last)
+    return found
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the strict patterns (kind, start, end), by kind as listed, then start."""
     found = []
     if "@" in text:
-        found += [("email", *m.span()) for m in EMAIL.finditer(text)]
+        found += _emails(text)
     if HAS_DIGIT.search(text):
         if "." in text:
-            found += [("ip", *m.span()) for m in IP.finditer(text) if is_ip(m[0])]
+            found += [("ip", *m.span()) for m in IP_SEARCH.finditer(text) if is_ip(m[0])]
         found += [("card", *m.span()) for m in CARD.finditer(text) if is_card(m[0])]
         if "+" in text:
             found += [("phone", *m.span()) for m in PHONE.finditer(text) if is_phone(m[0])]
