@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from touchline import schemas
 from touchline.operators import logs, models, reshape, status
 from touchline.plans.combine import combined
-from touchline.session import shared_folder
+from touchline.session import drop_written, new_folder, shared_folder, written
 from touchline.sources import leagues, lists, sinks, tables
 
 
@@ -166,3 +166,13 @@ def test_f1_of_a_class_without_rows(spark):
 
 def test_shared_folder_stays_the_same(spark):
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def test_written_tables_go_when_asked(spark, tmp_path):
+    drop_written(spark)
+    kept = written(spark.range(3), "kept")
+    assert kept.count() == 3 and not drop_written(spark.newSession()) == 0
+    new_folder(spark, "never-written")
+    assert drop_written(spark) == 0
+    with pytest.raises(Exception):
+        kept.count()

@@ -47,7 +47,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; nothing is created yet."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    context = spark.sparkContext
+    context._touchline_folders = [*getattr(context, "_touchline_folders", []), path]
+    return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -62,6 +65,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> int:
+    """Delete the folders that this application has been given by ``new_folder`` so far, and say how many.
+
+    For use between jobs: frames that read such a table cannot be computed any more.
+    """
+    context = spark.sparkContext
+    folders, context._touchline_folders = getattr(context, "_touchline_folders", []), []
+    jvm, settings = context._jvm, context._jsc.hadoopConfiguration()
+    dropped = 0
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        dropped += path.getFileSystem(settings).delete(path, True)
+    return dropped
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this package, once per Spark application.
 
