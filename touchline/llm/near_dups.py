@@ -13,8 +13,10 @@ a passage would else weigh less the more copies of it there are, and large group
 
 Large buckets are cut into blocks and pairs of blocks, so no task holds a bucket that grows with the
 data, and inside a block documents are compared by their samples alone. A block gives a forest of
-its likely pairs, not all of them. After these are verified, all likely pairs that still lie in different
-components are given and verified too, so no link between classes is lost.
+its likely pairs, not all of them, and these are verified. Documents that have a likely partner in
+another component afterwards are brought together block by block with their texts, and all such pairs are
+compared exactly; again only a forest of the true ones is given. So no link between classes is lost, and no step
+gives more rows than documents times blocks.
 
 Words are longest runs of digits, ASCII letters (lower-cased) and characters outside ASCII. A text
 with one to four words is one shingle. Texts without words have no shingles and are alike only if they are equal;
@@ -41,7 +43,7 @@ SIMILARITY = 0.8
 SAMPLES, ROWS = 64, 4  # 16 bands of 4: a pair at 0.8 shares no band with a chance of 0.0002
 RARITY_BITS = 18
 POOL_BITS = 16
-BLOCK = 1024
+BLOCK = 512
 # Pairs whose samples agree this much less often than asked are still verified (3.6 standard deviations).
 MARGIN = 0.18
 
@@ -85,11 +87,12 @@ def rarity(docs: DataFrame) -> np.ndarray:
 
 
 class Weighted(NamedTuple):
-    """Distinct shingles of many texts: text number, key and weight, sorted by text and key."""
+    """Distinct shingles of many texts: text number, key, weight and count, sorted by text and key."""
 
     of: np.ndarray
     key: np.ndarray
     weight: np.ndarray
+    times: np.ndarray
 
 
 def weighted_shingles(found: Words, table: np.ndarray) -> Weighted:
@@ -110,7 +113,7 @@ def weighted_shingles(found: Words, table: np.ndarray) -> Weighted:
         owners.append(np.array([d]))
         weights.append(np.array([rare[own].mean()]))
     if not keys:
-        return Weighted(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0))
+        return Weighted(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.int64))
     key, owner, weight = np.concatenate(keys), np.concatenate(owners), np.concatenate(weights)
     order = np.lexsort((key, owner))
     key, owner, weight = key[order], owner[order], weight[order]
@@ -118,7 +121,7 @@ def weighted_shingles(found: Words, table: np.ndarray) -> Weighted:
     at = np.flatnonzero(fresh)
     times = np.diff(np.append(at, len(key)))
     # rounded, so that a weight hangs on the shingle alone and not on where it stands
-    return Weighted(owner[at], key[at], np.round(weight[at], 3) * times)
+    return Weighted(owner[at], key[at], np.round(weight[at], 3) * times, times)
 
 
 @lru_cache(maxsize=1)
@@ -244,70 +247,110 @@ def _forest(likely: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def likely_pairs(in_buckets: DataFrame, found: DataFrame, labels: DataFrame | None, similarity: float) -> DataFrame:
-    """Pairs (``a`` < ``b``) of a bucket's texts whose samples agree often enough.
+def units(in_buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Buckets' texts dealt into units of at most two blocks: ``place`` (band and blocks), ``first`` and ``second``
+    (whether the text is in the first and the second block), ``node`` and ``label``.
 
-    Without labels each block gives a forest of them; with labels (``node``, ``label``) all pairs with
-    different labels.
+    Every pair of a bucket's texts is in exactly one unit, on different sides of it. With labels only
+    buckets with different ones are dealt.
     """
-    everything = labels is not None
-    least = int(np.ceil((similarity - MARGIN) * SAMPLES))
-    rows = in_buckets.join(found.select("node", "total", "sketch"), "node")
-    if everything:
-        rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    if labels is None:
+        rows = in_buckets.withColumn("label", F.col("node"))
+    else:
+        rows = in_buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = rows.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         rows = rows.join(mixed.select("band"), "band")
-    else:
-        rows = rows.withColumn("label", F.col("node"))
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")
-    units = (
-        rows.withColumn("blocks", blocks)
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    return (
+        rows.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("unit"),
-            F.struct("band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).alias("place"),
-            (F.col("own") <= F.col("other")).alias("first"), (F.col("own") >= F.col("other")).alias("second"),
-            "node", "total", "sketch", "label",
+            F.struct("band", low.alias("i"), high.alias("j")).alias("place"),
+            (F.col("own") <= F.col("other")).alias("first"),
+            (F.col("own") >= F.col("other")).alias("second"),
+            "node",
+            "label",
         )
-    )
-
-    def unit_pairs(group: list[dict]) -> list[tuple[str, str]]:
-        node = [g["node"] for g in group]
-        total = np.array([g["total"] for g in group])
-        sketch = np.frombuffer(b"".join([g["sketch"] for g in group]), np.uint8).reshape(-1, SAMPLES)
-        _, label = np.unique(np.array([g["label"] for g in group]), return_inverse=True)
-        first, second = np.array([g["first"] for g in group]), np.array([g["second"] for g in group])
-        likely = _agreeing(sketch) >= least
-        likely &= np.minimum(total[:, None], total) >= similarity * 0.999 * np.maximum(total[:, None], total)
-        likely &= label[:, None] != label
-        likely &= (first[:, None] & second) | (second[:, None] & first)
-        edges = zip(*np.nonzero(np.triu(likely, 1))) if everything else _forest(likely)
-        return [(min(node[i], node[j]), max(node[i], node[j])) for i, j in edges]
+    )
+
+
+def _by_unit(rows: DataFrame) -> DataFrame:
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    unit = rows.withColumn("unit", F.xxhash64("place.band", "place.i", "place.j"))
+    return unit.repartition(parts, "unit").sortWithinPartitions("unit", "place", "node").drop("unit")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of one unit after the other."""
+    place, group = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["place"] != place:
+                if len(group) > 1:
+                    yield group
+                place, group = row["place"], []
+            group.append(row)
+    if len(group) > 1:
+        yield group
+
+
+def _askable(group: list[dict], similarity: float) -> np.ndarray:
+    """Pairs on different sides of a unit, with different labels and weights that allow the similarity."""
+    total = np.array([g["total"] for g in group])
+    _, label = np.unique(np.array([g["label"] for g in group]), return_inverse=True)
+    first, second = np.array([g["first"] for g in group]), np.array([g["second"] for g in group])
+    pairs = np.minimum(total[:, None], total) >= similarity * 0.999 * np.maximum(total[:, None], total)
+    pairs &= label[:, None] != label
+    return pairs & ((first[:, None] & second) | (second[:, None] & first))
+
+
+def _likely(group: list[dict], similarity: float) -> np.ndarray:
+    """Of these the pairs whose samples agree often enough."""
+    sketch = np.frombuffer(b"".join([g["sketch"] for g in group]), np.uint8).reshape(-1, SAMPLES)
+    least = int(np.ceil((similarity - MARGIN) * SAMPLES))
+    return _askable(group, similarity) & (_agreeing(sketch) >= least)
+
+
+def _edges(group: list[dict], linked: np.ndarray) -> pa.RecordBatch:
+    node = [g["node"] for g in group]
+    pairs = [(min(node[i], node[j]), max(node[i], node[j])) for i, j in _forest(linked)]
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1)], ["a", "b"])
+
+
+def likely_pairs(in_buckets: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (``a`` < ``b``) that join whatever texts of a bucket are likely to be similar: a forest for each unit."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, group = None, []
+        for group in _groups(batches):
+            yield _edges(group, _likely(group, similarity))
+
+    rows = units(in_buckets, None).join(found.select("node", "total", "sketch"), "node")
+    return _by_unit(rows).mapInArrow(compare, "a string, b string").distinct()
 
-        def done() -> pa.RecordBatch:
-            pairs = unit_pairs(group) if len(group) > 1 else []
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.string()) for i in (0, 1)], ["a", "b"]
-            )
 
+def doubtful(in_buckets: DataFrame, found: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """The units' rows whose text has a likely partner with another label."""
+    rows = units(in_buckets, labels).join(found.select("node", "total", "sketch"), "node")
+    kept = [c for c in rows.columns if c != "sketch"]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = None
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["place"] != place:
-                    if len(group) > 1:
-                        yield done()
-                    place, group = row["place"], []
-                group.append(row)
-        if len(group) > 1:
-            yield done()
+            kind = kind or pa.schema([batch.schema.field(c) for c in kept])
+            break
+        else:
+            return
+        again = (b for part in ([batch], batches) for b in part)
+        for group in _groups(again):
+            asked = _likely(group, similarity).any(axis=1)
+            chosen = [{c: g[c] for c in kept} for g, a in zip(group, asked) if a]
+            if chosen:
+                yield pa.RecordBatch.from_pylist(chosen, kind)
 
-    parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = units.repartition(parts, "unit").sortWithinPartitions("unit", "place", "node").drop("unit")
-    return ordered.mapInArrow(compare, "a string, b string").distinct()
+    ordered = _by_unit(rows).select(*kept, "sketch")
+    return ordered.mapInArrow(compare, ordered.drop("sketch").schema)
 
 
 # --- verification ------------------------------------------------------------------------------------
@@ -341,6 +384,46 @@ def verified(pairs: DataFrame, texts: DataFrame, table: Broadcast, similarity: f
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a string, b string")
 
 
+def _all_similarities(found: Weighted, texts: int) -> np.ndarray:
+    """Weighted Jaccard similarity of all pairs of a unit's texts.
+
+    A shingle that occurs n times is n features of its single weight; what two texts share is then a
+    product of matrices over the features that more than one text has, taken in stretches.
+    """
+    at = np.repeat(np.arange(len(found.key)), found.times)
+    level = np.arange(len(at)) - np.repeat(np.cumsum(found.times) - found.times, found.times)
+    feature = mix(found.key[at] + level.astype(np.uint64) * np.uint64(ODD))
+    single = (found.weight / found.times)[at]
+    _, number, held = np.unique(feature, return_inverse=True, return_counts=True)
+    shared = held[number] > 1
+    of, number, single = found.of[at][shared], number[shared], single[shared]
+    order = np.argsort(number, kind="stable")
+    of, single = of[order], single[order]
+    number = np.cumsum(np.concatenate([[0], (np.diff(number[order]) != 0).astype(np.int64)])) if len(order) else number
+    both = np.zeros((texts, texts))
+    width = 2048
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, width):
+        a, b = np.searchsorted(number, (low, low + width))
+        matrix = np.zeros((texts, width))
+        matrix[of[a:b], number[a:b] - low] = np.sqrt(single[a:b])
+        both += matrix @ matrix.T
+    total = np.bincount(found.of, weights=found.weight, minlength=texts)
+    return both / np.maximum(total[:, None] + total - both, 1e-12)
+
+
+def verified_units(rows: DataFrame, texts: DataFrame, table: Broadcast, similarity: float) -> DataFrame:
+    """Pairs (``a`` < ``b``) that join whatever texts of a unit are similar and have different labels."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _groups(batches):
+            column = pa.array([g["text"] for g in group], pa.large_string())
+            found = weighted_shingles(words(*text_bytes(column)), table.value)
+            similar = _all_similarities(found, len(group)) >= similarity - 1e-9
+            yield _edges(group, _askable(group, similarity) & similar)
+
+    return _by_unit(rows.join(texts, "node")).mapInArrow(check, "a string, b string").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``label``): the smallest node of each node's connected component; nodes without edges are left out.
 
@@ -377,11 +460,11 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = own.select(text_name().alias("node"), "text").join(wanted, "node").groupBy("node").agg(F.first("text").alias("text"))
     texts = written(texts, "texts")
 
-    tried = written(likely_pairs(in_buckets, found, None, similarity), "pairs")
+    tried = written(likely_pairs(in_buckets, found, similarity), "pairs")
     links = written(verified(tried, texts, table, similarity), "links")
     labels = components(links)
-    rest = written(likely_pairs(in_buckets, found, labels, similarity).join(tried, ["a", "b"], "left_anti"), "pairs")
-    more = written(verified(rest, texts, table, similarity), "links")
+    rest = written(doubtful(in_buckets, found, labels, similarity), "doubtful")
+    more = written(verified_units(rest, texts, table, similarity), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
