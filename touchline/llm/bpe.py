@@ -35,7 +35,7 @@ from touchline.llm.text import slices
 # Fixed value: the public pattern that cuts text before merging.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # White space as Unicode has it, without the four information separators.
-SPACE = r"[\t-\r\x20\x85\xa0  -     　]"
+SPACE = r"[\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 NO_SPACE = SPACE.replace("[", "[^", 1)
 
 # The same pattern over the first 256 code points, for a faster search in texts that hold no others.
