@@ -41,8 +41,8 @@ NO_SPACE = SPACE.replace("[", "[^", 1)
 # The same pattern over the first 256 code points, for a faster search in texts that hold no others.
 LATIN = {"L": "A-Za-zªµºÀ-ÖØ-öø-ÿ", "N": "0-9²³¹¼½¾", "S": "\t-\r \x85\xa0"}
 
-MEMO_PIECES = 250_000
-MEMO_PAIRS = 1_000_000
+MEMO_PIECES = 100_000
+MEMO_PAIRS = 300_000
 
 
 def _byte_letters() -> dict[str, int]:

@@ -28,9 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchline.llm.text import ODD, mix, run_keys, slices, text_bytes
+from touchline.session import written
 
 BITS = 18
 SCALE = 8.0
+# Texts taken at a time; their features need some fifty times as much memory.
+PART_BYTES = 1 << 19
 
 SPACE_CLASS, WORD_CLASS, SIGN_CLASS = 0, 1, 2
 
@@ -171,7 +174,7 @@ def train(
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PART_BYTES):
                 features = _grams(*text_bytes(part.column("text")), bits)
                 pairs = [_sparse(features, i) for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
@@ -182,7 +185,7 @@ def train(
                 )
 
     rows = chosen.mapInArrow(extract, "shard int, deal bigint, label int, buckets binary, values binary")
-    rows = rows.persist()
+    rows = written(rows, "features")
     mean = np.zeros(size + 1)
 
     def pass_over(start: np.ndarray, epoch: int):
@@ -217,7 +220,6 @@ def train(
     total = 0
     for epoch in range(epochs):
         mean, total = pass_over(mean, epoch)
-    rows.unpersist()
     return Model(mean.astype(np.float32), bits, total)
 
 
@@ -233,7 +235,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bits, _ = shared.value
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, PART_BYTES):
                 features = _grams(*text_bytes(part.column(text)), bits)
                 owner = np.repeat(np.arange(part.num_rows), np.diff(features.border))
                 # equal buckets of one text count once, by the root of their share
