@@ -172,3 +172,49 @@ def test_units_alone_find_the_classes(spark):
     for d, t in texts:
         smallest[of[t]] = min(smallest.get(of[t], d), d)
     assert sorted(repr((d, smallest[of[t]])) for d, t in texts) == sorted(map(repr, want))
+
+
+def joined(n, edges):
+    """The smallest member of each one's component."""
+    label = list(range(n))
+    for a, b in edges:
+        old, new = max(label[a], label[b]), min(label[a], label[b])
+        label = [new if x == old else x for x in label]
+    return label
+
+
+def test_a_forest_joins_what_the_pairs_join():
+    graphs = [(6, [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5)])]
+    rng = random.Random(4)
+    for n, links in [(40, 1), (200, 1), (500, 8), (500, 15)]:
+        graphs.append((n, [(i, rng.randrange(n)) for i in range(n) for _ in range(links)]))
+    graphs.append((90, [(i, i + 1) for i in rng.sample(range(89), 89) if i % 30 != 29]))
+    for n, pairs in graphs:
+        linked = np.zeros((n, n), bool)
+        for a, b in pairs:
+            linked[a, b] = linked[b, a] = a != b
+        edges = near_dups._forest(linked)
+        want = joined(n, pairs)
+        assert joined(n, edges) == want and len(edges) == n - len(set(want))
+        assert all(linked[a, b] for a, b in edges)
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_units_join_chains_and_sparse_groups(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dups, "BLOCK", block)
+    random.seed(6)
+    texts = []
+    for length in (40, 6, 2):  # in a chain only neighbours are alike
+        own = [f"w{random.randrange(10**6)}" for _ in range(100 + 8 * length)]
+        texts += [" ".join(own[8 * i : 8 * i + 100]) for i in range(length)]
+    docs = documents(spark, list(enumerate(texts)))
+    table = spark.sparkContext.broadcast(near_dups.rarity(docs))
+    found = near_dups.written(near_dups.nodes(docs, table), "nodes")
+    bucket = found.selectExpr("1L AS band", f"{len(texts)}L AS size", "node")
+    rows = near_dups.units(bucket, None).join(found.select("node", "total"), "node")
+    named = docs.select(near_dups.text_name().alias("node"), "text")
+    links = near_dups.verified_units(rows, named, table, 0.8)
+    label = {r["node"]: r["label"] for r in near_dups.components(links).collect()}
+    of = {r["text"]: label[r["node"]] for r in named.collect()}
+    groups = [{of[t] for t in texts[a:b]} for a, b in ((0, 40), (40, 46), (46, 48))]
+    assert [len(g) for g in groups] == [1, 1, 1] and len(set.union(*groups)) == 3

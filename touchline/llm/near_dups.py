@@ -230,20 +230,42 @@ def _agreeing(sketch: np.ndarray) -> np.ndarray:
 
 
 def _forest(likely: np.ndarray) -> list[tuple[int, int]]:
-    """Edges that join whatever the likely pairs join: stars around texts with many likely partners."""
+    """A spanning forest of the likely pairs: stars around texts with many likely partners, and links that join the stars.
+
+    What the pairs join the edges join, and there are fewer edges than texts.
+    """
     degree = likely.sum(axis=1)
-    open_, done, edges = degree > 0, np.zeros(len(likely), bool), []
+    open_, star, edges = degree > 0, np.full(len(likely), -1), []
+    stars = 0
     while open_.any():
         top = degree[open_].max()
         # of the texts with nearly as many partners the first by name, which is the same in most buckets
         pivot = int(np.flatnonzero(open_ & (degree >= 0.8 * top))[0])
-        own = likely[pivot]
-        edges += [(pivot, int(i)) for i in np.flatnonzero(own & open_) if i != pivot]
-        if (own & done).any():
-            edges.append((pivot, int(np.flatnonzero(own & done)[0])))
-        done |= own & open_
-        done[pivot] = True
-        open_ &= ~done
+        own = likely[pivot] & open_
+        edges += [(pivot, int(i)) for i in np.flatnonzero(own) if i != pivot]
+        star[own] = star[pivot] = stars
+        stars += 1
+        open_ &= star < 0
+    if stars < 2:
+        return edges
+    a, b = np.nonzero(np.triu(likely, 1))
+    across = star[a] != star[b]
+    a, b = a[across], b[across]
+    low, high = np.minimum(star[a], star[b]), np.maximum(star[a], star[b])
+    _, first = np.unique(low * stars + high, return_index=True)
+    parent = list(range(stars))
+
+    def root(s: int) -> int:
+        while parent[s] != s:
+            parent[s] = parent[parent[s]]
+            s = parent[s]
+        return s
+
+    for i in first:
+        one, other = root(int(low[i])), root(int(high[i]))
+        if one != other:
+            parent[other] = one
+            edges.append((int(a[i]), int(b[i])))
     return edges
 
 
