@@ -93,3 +93,21 @@ def test_kept_bytes(spark):
     got = {r["doc_id"]: bytes(r["kept"]) for r in substrings.without_repeats(documents(spark, texts)).collect()}
     # only the first window of the run of q starts nowhere earlier
     assert got == {1: b"q", 2: texts[1][1].encode()}
+
+
+def test_repeated_rows_are_one_document(spark, monkeypatch):
+    own = "".join(random.Random(8).choices("abcdefgh ", k=700))
+    texts = [(3, own), (3, own), (3, own), (None, own[::-1]), (None, own[::-1]), (5, "x" * 40 + own[100:400]), (6, own[:300]), (6, own[:300])]
+    got = {r["doc_id"]: bytes(r["kept"]).decode() for r in substrings.without_repeats(documents(spark, texts)).collect()}
+    assert got == {3: own, None: own[::-1], 5: "x" * 40, 6: ""}
+    # two tasks, one, and rows of hot anchors
+    assert rows(documents(spark, texts).repartition(5)) == brute_force(texts)
+    assert rows(documents(spark, texts).coalesce(1)) == brute_force(texts)
+    monkeypatch.setattr(substrings, "HOT", 1)
+    assert rows(documents(spark, texts).repartition(2)) == brute_force(texts)
+    monkeypatch.setattr(substrings, "HOT", 20_000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        assert rows(documents(spark, texts * 3).repartition(3)) == brute_force(texts * 3)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

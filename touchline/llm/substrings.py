@@ -23,8 +23,8 @@ Anchors with very many different segments are split by the hash of the 93 bytes
 neighbouring windows have in common, so that no task gets a group that grows with the data.
 
 NULL is the empty text. Texts shorter than a window lose nothing. A NULL doc_id counts as the largest one. Rows with
-equal id and text are one document and get equal results; different texts under one id are told apart, and
-among them the smaller start is earlier.
+equal id and text are one document and get equal results; different texts under one id are told apart by 18
+bits of hash, and among them the smaller start is earlier. Of equal strings at one start under one id none is earlier.
 """
 
 from __future__ import annotations
@@ -53,7 +53,6 @@ SHARD_BYTES = 1 << 19
 MERGE_BYTES = 1 << 22
 
 LAST_ID = (1 << 63) - 1
-TEXT_BITS = 18
 
 
 # --- segments --------------------------------------------------------------------------------------
@@ -121,16 +120,21 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> Iterator[Segments]:
         yield s._replace(first=s.first - base, last=s.last - base, anchor=s.anchor - base)
 
 
-# A place packs first start (31 bits), windows after the first (7), anchor after it (7) and the text's number among equal ids (18).
+# A place packs first start (31 bits), windows after the first (7) and anchor after it (7).
 
 
-def _pack(first, last, anchor, version):
-    return first << 32 | (last - first) << 25 | (anchor - first) << 18 | version
+def _pack(first, last, anchor):
+    return first << 32 | (last - first) << 25 | (anchor - first) << 18
 
 
 def _unpack(place):
     first = place >> 32
-    return first, first + (place >> 25 & 127), first + (place >> 18 & 127), place & ((1 << TEXT_BITS) - 1)
+    return first, first + (place >> 25 & 127), first + (place >> 18 & 127)
+
+
+def _heads(fresh: np.ndarray) -> np.ndarray:
+    """For each row the number of the row that its group begins with."""
+    return np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -138,7 +142,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(body).bitwiseAND(F.lit((1 << TEXT_BITS) - 1)).alias("version"),
+        F.xxhash64(body).bitwiseAND(F.lit((1 << 18) - 1)).alias("version"),
         body.alias("body"),
     )
 
@@ -148,20 +152,27 @@ OPEN, REPEATED, COMPARE, COMPARE_HOT = 0, 1, 2, 3
 
 
 def segment_rows(texts: DataFrame) -> DataFrame:
-    """A row per segment; of equal segments in one task's flush all but the first are marked as repeated."""
+    """A row per segment; of equal segments in one task's flush those that start later than the first are marked as repeated.
+
+    Repeated rows of a document give one row, and so do not count as later.
+    """
 
     def combine(parts: list[np.ndarray]) -> pa.RecordBatch:
-        anchor, key, doc, place = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((place, doc, key, anchor))
-        anchor, key, doc, place = anchor[order], key[order], doc[order], place[order]
-        again = np.zeros(len(order), bool)
-        again[1:] = (anchor[1:] == anchor[:-1]) & (key[1:] == key[:-1])
+        anchor, key, doc, place, version = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((version, place, doc, key, anchor))
+        anchor, key, doc, place, version = anchor[order], key[order], doc[order], place[order], version[order]
+        fresh, same = np.ones(len(order), bool), np.zeros(len(order), bool)
+        fresh[1:] = (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])
+        same[1:] = ~fresh[1:] & (doc[1:] == doc[:-1]) & (place[1:] == place[:-1]) & (version[1:] == version[:-1])
+        head = _heads(fresh)
+        again = ((doc != doc[head]) | (place != place[head]))[~same]
+        anchor, key, doc, place, version = (c[~same] for c in (anchor, key, doc, place, version))
         # done rows are dealt evenly
         spread = np.where(again, mix(place.astype(np.uint64) ^ doc.astype(np.uint64)), anchor)
         return pa.RecordBatch.from_arrays(
             [pa.array(spread.view(np.int64)), pa.array(np.where(again, np.uint64(0), key).view(np.int64)),
-             pa.array(doc), pa.array(place), pa.array(np.where(again, REPEATED, OPEN).astype(np.int8))],
-            ["anchor", "segment", "id", "place", "state"],
+             pa.array(doc), pa.array(place), pa.array(version), pa.array(np.where(again, REPEATED, OPEN).astype(np.int8))],
+            ["anchor", "segment", "id", "place", "version", "state"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +183,7 @@ def segment_rows(texts: DataFrame) -> DataFrame:
                 versions = part.column("version").to_numpy(zero_copy_only=False)
                 for s in segments(*text_bytes(part.column("body"))):
                     if len(s.of):
-                        parts.append((s.anchor_key, s.key, ids[s.of], _pack(s.first, s.last, s.anchor, versions[s.of])))
+                        parts.append((s.anchor_key, s.key, ids[s.of], _pack(s.first, s.last, s.anchor), versions[s.of]))
                         rows += len(s.of)
                 if rows >= FLUSH_ROWS:
                     yield combine(parts)
@@ -180,69 +191,85 @@ def segment_rows(texts: DataFrame) -> DataFrame:
         if parts:
             yield combine(parts)
 
-    return texts.mapInArrow(run, "anchor bigint, segment bigint, id bigint, place bigint, state tinyint")
+    return texts.mapInArrow(run, "anchor bigint, segment bigint, id bigint, place bigint, version bigint, state tinyint")
 
 
 def sort_out(rows: DataFrame) -> DataFrame:
-    """Marks (``id``, ``place``, ``state``, ``anchor``) of the segments that are repeated or have to be compared.
+    """Marks (``id``, ``version``, ``place``, ``state``, ``anchor``) of the segments that are repeated or have to be compared.
 
     Rows come sorted by anchor and segment and are read as a stream that holds at most HOT of them.
     """
 
-    def marks(anchor, doc, place, state) -> pa.RecordBatch:
+    def marks(anchor, doc, place, version, state) -> pa.RecordBatch:
+        states = np.broadcast_to(np.int8(state), len(doc)).copy()
         return pa.RecordBatch.from_arrays(
-            [pa.array(doc), pa.array(place), pa.array(np.broadcast_to(np.int8(state), len(doc)).copy()), pa.array(anchor)],
-            ["id", "place", "state", "anchor"],
+            [pa.array(doc), pa.array(version), pa.array(place), pa.array(states), pa.array(anchor)],
+            ["id", "version", "place", "state", "anchor"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64)] * 3  # first segments of the last anchor
-        before: tuple[int, int] | None = None
+        none = [np.zeros(0, np.int64)] * 5
+        held = none  # first segments of the last anchor, and whether each is the first of its equals
+        first = last = none  # the first and the last row of the last segment
         hot: int | None = None
         for batch in batches:
-            anchor, key, doc, place, state = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            done = state == REPEATED
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            done = columns.pop() == REPEATED
             if done.any():
-                yield marks(anchor[done], doc[done], place[done], REPEATED)
-                anchor, key, doc, place = anchor[~done], key[~done], doc[~done], place[~done]
-            if not len(anchor):
+                anchor, _, doc, place, version = (c[done] for c in columns)
+                yield marks(anchor, doc, place, version, REPEATED)
+                columns = [c[~done] for c in columns]
+            if not len(columns[0]):
                 continue
-            fresh = np.ones(len(anchor), bool)
+            # the first and the last row of the segment that the batch before ended with go before this batch
+            carried = len(last[0]) * 2
+            anchor, key, doc, place, version = (np.concatenate(c) for c in zip(first, last, columns)) if carried else columns
+            fresh, same = np.ones(len(anchor), bool), np.zeros(len(anchor), bool)
             fresh[1:] = (anchor[1:] != anchor[:-1]) | (key[1:] != key[:-1])
-            fresh[0] = before != (anchor[0], key[0])
-            before = (anchor[-1], key[-1])
-            if not fresh.all():
-                yield marks(anchor[~fresh], doc[~fresh], place[~fresh], REPEATED)
-            anchor, doc, place = (np.concatenate([h, c[fresh]]) for h, c in zip(held, (anchor, doc, place)))
+            same[1:] = ~fresh[1:] & (doc[1:] == doc[:-1]) & (place[1:] == place[:-1]) & (version[1:] == version[:-1])
+            head = _heads(fresh)
+            later = (doc != doc[head]) | (place != place[head])
+            first = [c[head[-1:]] for c in (anchor, key, doc, place, version)]
+            last = [c[-1:] for c in (anchor, key, doc, place, version)]
+            new = ~same
+            new[:carried] = False
+            again = later & new
+            if again.any():
+                yield marks(anchor[again], doc[again], place[again], version[again], REPEATED)
+            rest = new & ~later
+            anchor, doc, place, version, fresh = (
+                np.concatenate([h, c[rest]]) for h, c in zip(held, (anchor, doc, place, version, fresh.astype(np.int64)))
+            )
             if not len(anchor):
                 continue
             edge = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             count = np.diff(np.append(edge, len(anchor)))
             size = np.repeat(count, count)
+            different = np.repeat(np.add.reduceat(fresh, edge), count)
             whole = anchor != anchor[-1]
             for chosen, mark in (
-                (whole & (size > 1) & (size <= HOT) & (anchor != hot), COMPARE),
-                ((whole & (size > HOT)) | (whole & (anchor == hot)), COMPARE_HOT),
+                (whole & (different > 1) & (size <= HOT) & (anchor != hot), COMPARE),
+                ((whole & (different > 1) & (size > HOT)) | (whole & (anchor == hot)), COMPARE_HOT),
             ):
                 if chosen.any():
-                    yield marks(anchor[chosen], doc[chosen], place[chosen], mark)
+                    yield marks(anchor[chosen], doc[chosen], place[chosen], version[chosen], mark)
             rest = ~whole
             if rest.sum() > HOT or hot is not None and anchor[-1] == hot:
                 hot = int(anchor[-1])
-                yield marks(anchor[rest], doc[rest], place[rest], COMPARE_HOT)
-                held = [np.zeros(0, np.int64)] * 3
+                yield marks(anchor[rest], doc[rest], place[rest], version[rest], COMPARE_HOT)
+                held = none
             else:
-                held = [anchor[rest], doc[rest], place[rest]]
-        if len(held[0]) > 1:
-            yield marks(*held, COMPARE)
+                held = [c[rest] for c in (anchor, doc, place, version, fresh)]
+        if held[-1].sum() > 1:
+            yield marks(*held[:-1], COMPARE)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "segment", "id", "place")
-    return ordered.mapInArrow(run, "id bigint, place bigint, state tinyint, anchor bigint")
+    ordered = rows.repartition(parts, "anchor").sortWithinPartitions("anchor", "segment", "id", "place", "version")
+    return ordered.mapInArrow(run, "id bigint, version bigint, place bigint, state tinyint, anchor bigint")
 
 
 def segment_texts(texts: DataFrame, marks: DataFrame) -> DataFrame:
-    """(``part``, ``id``, ``place``, ``bytes``) of the segments to compare; hot anchors are split into parts."""
+    """(``part``, ``id``, ``version``, ``place``, ``bytes``) of the segments to compare; hot anchors are split into parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -251,31 +278,30 @@ def segment_texts(texts: DataFrame, marks: DataFrame) -> DataFrame:
                 for doc, version, body, wanted in zip(*(c.to_pylist() for c in piece.columns)):
                     data = body.encode()
                     for mark in wanted:
-                        first, last, anchor, _ = _unpack(mark["place"])
+                        first, last, anchor = _unpack(mark["place"])
                         if mark["state"] == COMPARE:
-                            rows.append((mark["anchor"], doc, _pack(first, last, first, version), data[first : last + WINDOW]))
+                            rows.append((mark["anchor"], doc, version, _pack(first, last, first), data[first : last + WINDOW]))
                             continue
                         for part in range((anchor - last) // PART, (anchor - first) // PART + 1):
                             a, b = max(first, anchor - PART * part - PART + 1), min(last, anchor - PART * part)
                             core = anchor - PART * part
                             name = hashlib.blake2b(data[core : core + CORE], digest_size=8).digest()
                             rows.append(
-                                (int.from_bytes(name, "little", signed=True), doc, _pack(a, b, a, version), data[a : b + WINDOW])
+                                (int.from_bytes(name, "little", signed=True), doc, version, _pack(a, b, a), data[a : b + WINDOW])
                             )
-                columns = list(zip(*rows)) if rows else [[]] * 4
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+                columns = list(zip(*rows)) if rows else [[]] * 5
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["part", "id", "place", "bytes"]
+                    [pa.array(list(c), k) for c, k in zip(columns, kinds)], ["part", "id", "version", "place", "bytes"]
                 )
 
     wanted = (
         marks.where(F.col("state") != REPEATED)
-        .withColumn("version", F.col("place").bitwiseAND(F.lit((1 << TEXT_BITS) - 1)))
         .groupBy("id", "version")
         .agg(F.collect_list(F.struct("place", "state", "anchor")).alias("wanted"))
     )
     joined = texts.join(wanted, ["id", "version"]).select("id", "version", "body", "wanted")
-    return joined.mapInArrow(run, "part bigint, id bigint, place bigint, bytes binary")
+    return joined.mapInArrow(run, "part bigint, id bigint, version bigint, place bigint, bytes binary")
 
 
 # --- Burrows-Wheeler transforms ----------------------------------------------------------------------
@@ -356,7 +382,7 @@ def repeated_intervals(shards: list[Shard], depth: int) -> tuple[np.ndarray, np.
     return rows, group
 
 
-def repeated_windows(found: list[tuple[int, int, bytes]]) -> list[tuple[int, int, int, int]]:
+def repeated_windows(found: list[tuple[int, int, bytes]], versions: list[int] | None = None) -> list[tuple[int, int, int, int]]:
     """Of segments (id, place, bytes): runs (id, version, first start, last start) of windows that also start earlier."""
     shards: list[Shard] = []
     starts: list[np.ndarray] = []  # for each suffix row its segment's number and its offset there
@@ -381,12 +407,15 @@ def repeated_windows(found: list[tuple[int, int, bytes]]) -> list[tuple[int, int
         return []
     segment, offset = np.concatenate(starts, axis=1)[:, rows]
     doc = np.array([f[0] for f in found], np.int64)[segment]
-    first, _, _, version = _unpack(np.array([f[1] for f in found], np.int64)[segment])
-    start = first + offset
+    version = np.array(versions or [0] * len(found), np.int64)[segment]
+    start = _unpack(np.array([f[1] for f in found], np.int64)[segment])[0] + offset
     order = np.lexsort((version, start, doc, group))
-    later = np.zeros(len(order), bool)
-    later[1:] = group[order][1:] == group[order][:-1]
-    doc, version, start = doc[order][later], version[order][later], start[order][later]
+    doc, version, start, group = doc[order], version[order], start[order], group[order]
+    head = _heads(np.concatenate([[True], group[1:] != group[:-1]]))
+    later = (doc != doc[head]) | (start != start[head])
+    if not later.any():
+        return []
+    doc, version, start = doc[later], version[later], start[later]
     order = np.lexsort((start, version, doc))
     doc, version, start = doc[order], version[order], start[order]
     cut = np.flatnonzero((doc[1:] != doc[:-1]) | (version[1:] != version[:-1]) | (start[1:] != start[:-1] + 1))
@@ -397,26 +426,29 @@ def repeated_windows(found: list[tuple[int, int, bytes]]) -> list[tuple[int, int
 def compared(rows: DataFrame) -> DataFrame:
     """Runs of repeated windows (``id``, ``version``, ``first``, ``last``) of the segments to compare."""
 
-    def result(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        runs = repeated_windows(found)
+    def result(found: list[tuple[int, int, bytes]], versions: list[int]) -> pa.RecordBatch:
+        runs = repeated_windows(found, versions)
         return pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in runs], pa.int64()) for i in range(4)], ["id", "version", "first", "last"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, size, last = [], 0, None
+        found, versions, size, last = [], [], 0, None
         for batch in batches:
-            for part, doc, place, data in zip(*(c.to_pylist() for c in batch.columns)):
-                if size >= MERGE_BYTES and part != last:
-                    yield result(found)
-                    found, size = [], 0
+            for part, doc, version, place, data in zip(*(c.to_pylist() for c in batch.columns)):
+                if (part, doc, version, place) == last:  # of a repeated row
+                    continue
+                if size >= MERGE_BYTES and part != last[0]:
+                    yield result(found, versions)
+                    found, versions, size = [], [], 0
                 found.append((doc, place, data))
-                size, last = size + len(data), part
+                versions.append(version)
+                size, last = size + len(data), (part, doc, version, place)
         if len(found) > 1:
-            yield result(found)
+            yield result(found, versions)
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartition(parts, "part").sortWithinPartitions("part")
+    ordered = rows.repartition(parts, "part").sortWithinPartitions("part", "id", "version", "place")
     return ordered.mapInArrow(run, "id bigint, version bigint, first bigint, last bigint")
 
 
@@ -431,7 +463,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     first = F.shiftright("place", 32)
     runs = marks.where(F.col("state") == REPEATED).select(
         "id",
-        F.col("place").bitwiseAND(F.lit((1 << TEXT_BITS) - 1)).alias("version"),
+        "version",
         first.alias("first"),
         (first + F.shiftright("place", 25).bitwiseAND(F.lit(127))).alias("last"),
     )
