@@ -111,3 +111,14 @@ def test_repeated_rows_are_one_document(spark, monkeypatch):
         assert rows(documents(spark, texts * 3).repartition(3)) == brute_force(texts * 3)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_many_different_texts_under_one_id(spark):
+    rng = random.Random(9)
+    shared = "".join(rng.choices("abcdefgh ", k=250))
+    # 2,000 texts: two of them have the same 18 bits of hash in all likelihood
+    texts = [(None, "".join(rng.choices("ijkl", k=130)) + (shared if i % 50 == 0 else "")) for i in range(2000)]
+    texts += [(None, "m" * (i % 7) + shared + "".join(rng.choices("ijkl", k=130))) for i in range(60)]
+    keys = [r["version"] for r in substrings.keyed(documents(spark, texts)).select("version").distinct().collect()]
+    assert len(keys) == len(set(texts))
+    assert rows(documents(spark, texts).repartition(4)) == brute_force(texts)

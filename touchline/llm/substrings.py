@@ -23,7 +23,7 @@ Anchors with very many different segments are split by the hash of the 93 bytes
 neighbouring windows have in common, so that no task gets a group that grows with the data.
 
 NULL is the empty text. Texts shorter than a window lose nothing. A NULL doc_id counts as the largest one. Rows with
-equal id and text are one document and get equal results; different texts under one id are told apart by 18
+equal id and text are one document and get equal results; different texts under one id are told apart by 64
 bits of hash, and among them the smaller start is earlier. Of equal strings at one start under one id none is earlier.
 """
 
@@ -142,7 +142,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"),
-        F.xxhash64(body).bitwiseAND(F.lit((1 << 18) - 1)).alias("version"),
+        F.xxhash64(body).alias("version"),
         body.alias("body"),
     )
 
