@@ -95,3 +95,29 @@ def test_threshold_has_the_best_mean_recall(spark):
 def test_empty_table_and_a_table_without_rules(spark):
     assert urls.judge(pages(spark, [])).collect() == []
     assert {r["verdict"] for r in urls.judge(pages(spark, ["http://x.de/", None])).collect()} == {"allow"}
+
+
+def test_scores_by_exact_contexts(spark):
+    """Against strings and plain counts; the URLs hold more pairs than meet without hash collisions in 131,072 slots."""
+    rng = np.random.default_rng(5)
+    rows = [("http://" + bytes(rng.integers(97, 123, 60, dtype=np.uint8)).decode(), "allow" if i % 3 else "block") for i in range(600)]
+    models = urls.train(spark.createDataFrame(rows, "url string, verdict string").repartition(3))
+    counts = {}
+    events = lambda u: [("^^^^^" + u + "$")[i : i + 6] for i in range(len(u) + 1)]
+    for u, v in rows:
+        for e in events(u):
+            for k in range(6):
+                for name in ((v, e[5 - k :]), (v, k, e[5 - k : 5])):
+                    counts[name] = counts.get(name, 0) + 1
+    asked = [u for u, _ in rows[:40]] + ["http://unseen.org/" + "ab" * i for i in range(10)] + [""]
+    got = {r["url"]: r["ratio"] for r in urls.score(spark.createDataFrame([(u,) for u in asked], "url string"), models).collect()}
+    for u in asked:
+        want = 0.0
+        for e in events(u):
+            for sign, v in ((1, "allow"), (-1, "block")):
+                chance = 1 / 256
+                for k in range(6):
+                    total = counts.get((v, k, e[5 - k : 5]), 0)
+                    chance = (counts.get((v, e[5 - k :]), 0) + urls.WEIGHT * chance) / (total + urls.WEIGHT)
+                want += sign * np.log(chance)
+        assert abs(got[u] - want / (len(u) + 1)) < 1e-8, u

@@ -6,8 +6,9 @@ unseen contexts fall back to shorter ones. A URL's score is the difference of bo
 per character, and it is blocked below a threshold that is calibrated on rule-judged URLs which the
 models have not seen.
 
-Counts are taken over all rule-judged URLs in Spark and kept in hashed tables of a fixed size, so the
-model that the driver and all tasks hold is bounded by ``SLOTS``, whatever the corpus.
+Counts are exact, taken over all rule-judged URLs, and stay in a Spark table that grows with them: a row per
+distinct character with its longest context, from which those of the shorter ones follow. Of the URLs to be judged
+the distinct ones of such pairs are joined with it, so neither the driver nor a task holds a model.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: then up to
 ``?``, ``#`` or the end. A NULL URL or one without ``://`` has an empty host and path; it fits no
@@ -17,14 +18,14 @@ rule and is judged by the models like any other.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.text import mix, slices, text_bytes
+from touchline.llm.text import free_name, slices, text_bytes
+from touchline.session import written
 
 ALLOW, BLOCK = "allow", "block"
 # The rules of the list, host and path.
@@ -36,7 +37,6 @@ RULES = (
 )
 
 ORDER = 5
-SLOTS = 1 << 17
 WEIGHT = 1.5  # of the shorter context's chance, in characters
 CALIBRATION_SHARE = 5  # one of so many rule-judged URLs is kept for the threshold
 BIN, BINS = 0.01, 2000
@@ -64,15 +64,12 @@ def rule(host_column: Column, path_column: Column, rules=RULES) -> Column:
     return found
 
 
-class Models(NamedTuple):
-    """Counts by [model, order, slot] of context and character, and of the context alone."""
-
-    pairs: np.ndarray
-    contexts: np.ndarray
+# A key holds a character (8 bits), its context before it, the nearest byte lowest (8 each), and the context's length.
+LENGTH_AT = 8 * (ORDER + 1)
 
 
 def _events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots (order, character) of all pairs and contexts, and the URL that each character is of.
+    """Keys (order, character) of all pairs and contexts, and the URL that each character is of.
 
     Each URL is preceded by marks and followed by one, which count as characters that it cannot hold.
     """
@@ -84,64 +81,114 @@ def _events(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     padded[at] = data
     padded[first[1:] - 1] = 3
     place = np.arange(sizes.sum() + n) + np.repeat(first[:-1] + ORDER - np.concatenate([[0], np.cumsum(sizes + 1)])[:-1], sizes + 1)
-    context = np.zeros(len(place), np.uint64)
+    context = np.zeros(len(place), np.int64)
+    padded = padded.astype(np.int64)
     pairs, contexts = np.empty((ORDER + 1, len(place)), np.int64), np.empty((ORDER + 1, len(place)), np.int64)
     for k in range(ORDER + 1):
         if k:
-            context = context | (padded[place - k] << np.uint64(8 * (k - 1)))
-        tag = np.uint64(k) << np.uint64(56)
-        contexts[k] = mix(context | tag) % np.uint64(SLOTS)
-        pairs[k] = mix(mix(context | tag) + padded[place]) % np.uint64(SLOTS)
+            context = context | padded[place - k] << 8 * k
+        contexts[k] = context | k << LENGTH_AT
+        pairs[k] = contexts[k] | padded[place]
     return pairs, contexts, np.repeat(np.arange(n), sizes + 1)
 
 
-def train(judged: DataFrame) -> Models:
-    """Count over all rows (``url``, ``verdict``)."""
+def train(judged: DataFrame) -> DataFrame:
+    """Counts over all rows (``url``, ``verdict``): ``pair`` of the longest context, times ``accepted`` and ``rejected``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "url"):
-                pairs, contexts, of = _events(*text_bytes(part.column("url")))
-                accepted = np.array([v == ALLOW for v in part.column("verdict").to_pylist()], bool)
-                side = accepted[of].astype(np.int64)
-                slot = lambda kind, k, s: ((side * 2 + kind) * (ORDER + 1) + k) * SLOTS + s
-                every = [slot(kind, k, s[k]) for kind, s in ((0, pairs), (1, contexts)) for k in range(ORDER + 1)]
-                slots, n = np.unique(np.concatenate(every), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n.astype(np.int64))], ["slot", "n"])
-
-    counted = judged.select("url", "verdict").mapInArrow(count, "slot bigint, n bigint")
-    total = np.zeros(4 * (ORDER + 1) * SLOTS, np.float32)
-    found = counted.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    total[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    both = total.reshape(2, 2, ORDER + 1, SLOTS)
-    return Models(both[:, 0], both[:, 1])
-
-
-def _scores(models: Models, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Logarithm of accepted over rejected, per character."""
-    pairs, contexts, of = _events(data, offsets)
-    logs = []
-    for side in (1, 0):
-        chance = np.full(len(of), 1 / 256)
-        for k in range(ORDER + 1):
-            hits, total = models.pairs[side, k][pairs[k]], models.contexts[side, k][contexts[k]]
-            chance = (np.minimum(hits, total) + WEIGHT * chance) / (total + WEIGHT)
-        logs.append(np.bincount(of, weights=np.log(chance), minlength=len(offsets) - 1))
-    return (logs[0] - logs[1]) / np.bincount(of, minlength=len(offsets) - 1)
-
-
-def score(urls: DataFrame, models: Models, name: str = "ratio") -> DataFrame:
-    """The input, which has a column ``url``, with the length-normalised log ratio. No shuffle."""
-    shared = urls.sparkSession.sparkContext.broadcast(models)
-    names, schema = urls.columns, urls.select("*", F.lit(0.0).alias(name)).schema
+                pairs, _, of = _events(*text_bytes(part.column("url")))
+                side = np.array([v == ALLOW for v in part.column("verdict").to_pylist()], bool)[of]
+                pair, number = np.unique(pairs[ORDER], return_inverse=True)
+                n = [np.bincount(number[s], minlength=len(pair)) for s in (side, ~side)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pair), *[pa.array(x.astype(np.int64)) for x in n]], ["pair", "accepted", "rejected"]
+                )
+
+    counted = judged.select("url", "verdict").mapInArrow(count, "pair bigint, accepted bigint, rejected bigint")
+    summed = counted.groupBy("pair").agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected"))
+    return written(summed, "url-counts")
+
+
+def _cut(pair: Column, order: int) -> Column:
+    """The key of the pair with a context of ``order`` bytes."""
+    return pair.bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).bitwiseOR(F.lit(order << LENGTH_AT))
+
+
+def _values(asked: DataFrame, models: DataFrame) -> DataFrame:
+    """(``pair``, ``value``): logarithm of accepted over rejected for each distinct pair of the longest context.
+
+    From no context to the longest each pair takes the chance of the pair that is a byte shorter; at most 258 pairs
+    share such a one, or a context, so no group grows with the data.
+    """
+    sides = ("accepted", "rejected")
+    none = [F.lit(0).cast("bigint").alias(c) for c in sides]
+    rows = models.select("pair", *sides, F.lit(False).alias("asked")).unionByName(
+        asked.select("pair", *none, F.lit(True).alias("asked"))
+    )
+    cut = F.array(*[_cut(F.col("pair"), k) for k in range(ORDER + 1)])
+    rows = rows.select(F.explode(cut).alias("pair"), *sides, "asked").groupBy("pair")
+    rows = rows.agg(*[F.sum(c).alias(c) for c in sides], F.max("asked").alias("asked"))
+    context = Window.partitionBy(F.col("pair").bitwiseAND(F.lit(~255)))
+    rows = rows.withColumns({f"{c}_total": F.sum(c).over(context) for c in sides}).where("asked")
+    rows = written(rows.withColumn("length", F.shiftright("pair", LENGTH_AT)), "url-pairs")
+    found = None
+    for k in range(ORDER + 1):
+        own = rows.where(F.col("length") == k)
+        if found is None:
+            own = own.withColumns({f"{c}_before": F.lit(1 / 256) for c in sides})
+        else:
+            before = found.select(F.col("pair").alias("shorter"), *[F.col(f"{c}_chance").alias(f"{c}_before") for c in sides])
+            own = own.withColumn("shorter", _cut(F.col("pair"), k - 1)).join(before, "shorter")
+        found = own.select(
+            "pair",
+            *[
+                ((F.col(c) + WEIGHT * F.col(f"{c}_before")) / (F.col(f"{c}_total") + WEIGHT)).alias(f"{c}_chance")
+                for c in sides
+            ],
+        )
+    return found.select("pair", (F.log("accepted_chance") - F.log("rejected_chance")).alias("value"))
+
+
+def _url_name(url: str = "url") -> Column:
+    return F.md5(F.coalesce(F.col(url), F.lit("")).cast("binary"))
+
+
+def ratios(urls: DataFrame, models: DataFrame, name: str = "ratio") -> DataFrame:
+    """(``url_name``, ratio) of each distinct URL: the length-normalised log ratio."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "url"):
-                made = _scores(shared.value, *text_bytes(part.column("url")))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.float64())], [*names, name])
+            for part in slices(batch, "url", 1 << 18):
+                pairs, _, of = _events(*text_bytes(part.column("url")))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("url_name").take(pa.array(of)), pa.array(pairs[ORDER])], ["url_name", "pair"]
+                )
+
+    distinct = urls.select(_url_name().alias("url_name"), "url").groupBy("url_name").agg(F.first("url").alias("url"))
+    held = written(distinct.mapInArrow(run, "url_name string, pair bigint"), "url-held")
+    valued = held.join(_values(held.select("pair").distinct(), models), "pair")
+    # rounded, so that the order of the sum does not show
+    return written(valued.groupBy("url_name").agg(F.round(F.avg("value"), 9).alias(name)), "url-ratios")
+
+
+def with_ratios(urls: DataFrame, known: DataFrame) -> DataFrame:
+    """The input, which has a column ``url``, with the ratio of its URL."""
+    own = free_name("url_name", urls.columns)
+    return urls.join(known.withColumnRenamed("url_name", own), _url_name() == F.col(own), "left").drop(own)
+
+
+def score(urls: DataFrame, models: DataFrame, name: str = "ratio") -> DataFrame:
+    """The input, which has a column ``url``, with the length-normalised log ratio."""
+    return with_ratios(urls, ratios(urls, models, name))
+
 
-    return urls.mapInArrow(run, schema)
+def _scores(models: DataFrame, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Ratios of a few URLs that are given as bytes."""
+    rows = [(i, data[a:b].tobytes().decode()) for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:]))]
+    urls = models.sparkSession.createDataFrame(rows, "number int, url string")
+    return np.array([r["ratio"] for r in score(urls, models).orderBy("number").collect()])
 
 
 def calibrate(scored: DataFrame) -> float:
@@ -173,8 +220,10 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     judged = parsed.select("url", by_rule.alias("verdict")).where("verdict IS NOT NULL")
     kept_back = F.pmod(F.xxhash64("url"), F.lit(CALIBRATION_SHARE)) == 0
     models = train(judged.where(~kept_back))
-    threshold = calibrate(score(judged.where(kept_back), models))
-    both = models.contexts[:, 0].sum(axis=1).all()
-    scored = score(parsed, models)
+    known = ratios(parsed, models)
+    threshold = calibrate(with_ratios(judged.where(kept_back), known))
+    total = models.agg(F.sum("accepted").alias("accepted"), F.sum("rejected").alias("rejected")).first()
+    both = total["accepted"] and total["rejected"]
+    scored = with_ratios(parsed.drop("ratio"), known)
     by_model = F.when(F.lit(bool(both)) & (F.col("ratio") < threshold), BLOCK).otherwise(ALLOW)
     return scored.withColumn("verdict", F.coalesce(by_rule, by_model))
