@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, substrings, urls
+from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, repair, substrings, urls
 from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and template spans of every document."""
     found = licenses.scan(table(spark, sf_dir, "documents"), ["doc_id"])
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+@query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of every damaged conversation, the cheapest edits that repair it, and a digest of what is left."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair.report(repair.repair(repair.damaged(turns))).withColumnRenamed("conv_id", "found_id")
+    original = turns.select("conv_id").distinct()
+    nothing = F.sha2(F.lit(""), 256)
+    return original.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in repair.REPORT_FIELDS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
