@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, repair, substrings, urls
+from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, ranked, repair, substrings, urls
 from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,10 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
     )
+
+
+@query("op12_ranked_search")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    index = ranked.build(table(spark, sf_dir, "documents"))
+    return ranked.rank(index, table(spark, sf_dir, "benchmark"))
