@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, ranked, repair, substrings, urls
+from touchline.llm import bpe, chat, decontaminate, fingerprints, licenses, near_dups, pii, quality, ranked, repair, secret_scan, substrings, urls
 from touchline.session import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,19 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents of every benchmark item."""
     index = ranked.build(table(spark, sf_dir, "documents"))
     return ranked.rank(index, table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_secret_scan")
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digests of base spans, and all spans, of every document."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secret_scan.BASE_KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined("spans").alias("spans"),
+        F.array_max(F.transform("spans", lambda s: s["bits"])).alias("most_bits"),
+    )
