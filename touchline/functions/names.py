@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from touchline import fixed_values as fv
 from touchline.functions.dates import season_of
-from touchline.functions.text import first_match
+from touchline.functions.text import first_match, quoted
 
 
 def list_name(prefix: Column, key: Column, season: Column) -> Column:
@@ -18,6 +18,17 @@ def base_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
+def shown_name(path: Column) -> Column:
+    """The name that tells what a file is: its own, or its folder's if Spark named the file.
+
+    A folder ``stem=x`` counts as ``x``. Names come decoded, as paths of files that were read are encoded.
+    """
+    own = F.substring_index(path, "/", -1)
+    folder = F.regexp_replace(F.substring_index(F.substring_index(path, "/", -2), "/", 1), "^[^=]*=", "")
+    name = F.when(own.rlike("^part-[0-9]{5,}-"), folder).otherwise(own)
+    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+
+
 def list_name_from_url(url: Column, host: str, as_of: Column) -> Column:
     """List file name of a results page.
 
@@ -66,8 +77,14 @@ def log_stem(path: Column) -> Column:
 
 
 def list_stem(path: Column) -> Column:
-    """File name without its last extension."""
-    return F.regexp_replace(base_name(path), r"(?<=[^.])\.[^.]*$", "")
+    """File name without its last extension, and without the number of a part before it."""
+    return F.regexp_replace(base_name(path), r"(?<=[^.])(\.part-\d+)?\.[^.]*$", "")
+
+
+def data_stem(name: Column) -> Column:
+    """Name of a match file without its suffix and number, or the name as it is."""
+    ending = fv.DATA_SUFFIX.removesuffix(".csv")
+    return F.regexp_replace(name, rf"({quoted(ending)})?(\.part-\d+)?\.csv$", "")
 
 
 def data_path(stem: Column, folder: str = "scraped_data") -> Column:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline import schemas
-from touchline.functions.names import season_from_name
 from touchline.functions.text import WHITE_SPACE
 from touchline.operators import logs, reshape
 from touchline.operators.keys import first_per_key
@@ -51,9 +50,8 @@ def src_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         stem.alias("stem"), F.concat(F.lit("https://us.example.com/"), F.col("o_orderkey").cast("string")).alias("url")
     )
     folder = new_folder(spark, "lists")
-    sinks.write_links(orders, folder)
-    read = lists.read_lists(spark, folder).withColumn("stem", F.regexp_extract("path", r"stem=([^/]*)/", 1))
-    return read.groupBy("stem").agg(
+    sinks.write_lists(orders, folder)
+    return lists.read_lists(spark, folder).groupBy("stem").agg(
         F.count(F.lit(1)).alias("n_urls"),
         F.countDistinct(F.regexp_extract("url", r"(\d+)$", 1)).alias("n_distinct"),
         F.min("url").alias("first_url"),
@@ -95,21 +93,20 @@ def match_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 CSV = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def write_season_files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
-    """Match files in three folders: in the fixed order; in another order with quoted names and line breaks; without some ids."""
+def write_season_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Match files in three folders: under a stem's name; in another order with quoted names and line breaks; without some ids."""
     rows = match_text(spark, sf_dir)
     part = F.col("match_id").cast("bigint") % 3
-    folders = {name: new_folder(spark, "season") + f"-{name}" for name in ("cup_2024-2025", "cup_2026", "other")}
-    plain, turned, holes = folders.values()
-    sinks.write_matches(rows.where(part == 0), plain, schemas.all_strings(schemas.MATCH))
+    named, turned, holes = (new_folder(spark, "season") + end for end in ("", "-cup_2026", "-other"))
+    sinks.write_season_files(rows.where(part == 0).withColumn("stem", F.lit("cup_2024-2025")), named)
     names = [f.name for f in schemas.MATCH.fields]
     broken = rows.where(part == 1).withColumn("city", F.lit("North\nSide"))
-    broken.select(*reversed(names)).write.options(**CSV, quoteAll="true").csv(turned)
+    broken.select(*reversed(names)).write.options(**CSV, quoteAll="true").csv(f"{turned}/cup_2026")
     missing = F.when(F.col("match_id").cast("bigint") % 7 != 0, F.col("match_id"))
     few = ["round", "match_id", "date", "kickoff_time", "attendance", "stadium", "home_team", "away_team", "home_goals",
            "away_goals", "result", "home_xg"]
-    rows.where(part == 2).withColumn("match_id", missing).select(*few).write.options(**CSV).csv(holes)
-    return folders
+    rows.where(part == 2).withColumn("match_id", missing).select(*few).write.options(**CSV).csv(f"{holes}/other")
+    return [named, f"{turned}/cup_2026", f"{holes}/other"]
 
 
 @query(
@@ -128,7 +125,7 @@ def src_match_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matches of three folders with different headers, read by name in one scan."""
     columns = ["match_id", "date", "kickoff_time", "attendance", "stadium", "home_team", "away_team", "home_goals",
                "away_goals", "result", "home_xg", "city", "home_corners"]
-    folders = list(write_season_files(spark, sf_dir).values())
+    folders = write_season_files(spark, sf_dir)
     return tables.read_matches(spark, folders, columns=columns).select(
         "match_id",
         F.left(F.col("kickoff_ts").cast("string"), F.lit(19)).alias("kickoff"),
@@ -195,14 +192,15 @@ def src_log_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     SELECT CASE WHEN CAST(match_id AS BIGINT) % 3 <> 2 OR CAST(match_id AS BIGINT) % 7 <> 0 THEN match_id END AS match_id,
            home_team, away_team, home_goals,
-           CASE WHEN CAST(match_id AS BIGINT) % 3 = 1 THEN 'North' || chr(10) || 'Side' END AS city, 109 AS n_columns
+           CASE WHEN CAST(match_id AS BIGINT) % 3 = 1 THEN 'North' || chr(10) || 'Side' END AS city,
+           ['2024-2025', '2026', 'unknown'][CAST(match_id AS BIGINT) % 3 + 1] AS season, 109 AS n_columns
     FROM ({MATCH_TEXT_SQL}) AS t
     """,
 )
 def job_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The combine job over folders with different headers; rows without id stay."""
-    united = combined(spark, list(write_season_files(spark, sf_dir).values()), add_season=True)
-    return united.select("match_id", "home_team", "away_team", "home_goals", "city", F.lit(len(united.columns)).alias("n_columns"))
+    united = combined(spark, write_season_files(spark, sf_dir), add_season=True)
+    return united.select("match_id", "home_team", "away_team", "home_goals", "city", "season", F.lit(len(united.columns)).alias("n_columns"))
 
 
 @query(
@@ -446,17 +444,13 @@ def sink_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     folder = new_folder(spark, "seasons")
     finished = F.col("o_orderstatus") == "F"
-    csv = {"header": "true", "quote": '"', "escape": '"'}
     parts = {
         "cup_2024-2025": orders.where(finished).select("match_id", "home_goals", "round", "league_division"),
         "cup_none": orders.where(~finished).select("match_id", "league_division", "round"),
     }
-    read = []
-    for name, part in parts.items():
-        part.write.options(**csv).csv(f"{folder}/{name}")
-        rows = tables.typed(tables.read_csv_text(spark, f"{folder}/{name}"), schemas.MATCH)
-        ordered = rows.select("match_id", "league_division", "round", *[c for c in rows.columns if c == "home_goals"])
-        read.append(reshape.insert_column(ordered, "season", season_from_name(F.lit(name))))
+    for stem, part in parts.items():
+        sinks.write_season_files(part.withColumn("stem", F.lit(stem)), folder)
+    united = combined(spark, folder, add_season=True).select("match_id", "league_division", "season", "round", "home_goals")
     target = new_folder(spark, "combined")
-    sinks.write_combined(reshape.union_by_name(read), target, folder)
+    sinks.write_combined(united, target, folder)
     return spark.read.parquet(target)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.functions.names import list_stem
+from touchline.functions.names import list_stem, shown_name
 from touchline.functions.text import strip
 from touchline.operators.keys import first_per_key
 
@@ -26,13 +26,22 @@ def clean_lines(lines: DataFrame, column: str = "value", name: str = "url") -> D
 
 
 def read_lists(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """URLs of every ``.txt`` file below the paths, with file name and stem."""
+    """URLs of every ``.txt`` file below the paths, with file name and stem.
+
+    In a folder ``stem=...`` that ``write_links`` wrote, the folder tells the stem.
+    """
     lines = (
         spark.read.option("pathGlobFilter", any_case("*.txt"))
         .text(paths)
         .select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"))
     )
-    return clean_lines(lines).withColumn("stem", list_stem(F.col("file_name")))
+    return clean_lines(lines).withColumn("stem", stem_of(F.col("path")))
+
+
+def stem_of(path: Column) -> Column:
+    """The stem of a list, from its path."""
+    name = shown_name(path)
+    return F.when(path.rlike("/stem=[^/]*/part-[0-9]{5,}-[^/]*$"), name).otherwise(list_stem(name))
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = ".txt") -> DataFrame:

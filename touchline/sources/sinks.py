@@ -1,13 +1,16 @@
-"""Writers. Every one is a plain distributed write."""
+"""Writers. Every one is a plain distributed write; some then give the files the names that jobs look for."""
 
 from __future__ import annotations
 
 import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline import fixed_values as fv
+from touchline import schemas
 from touchline.sources.tables import conform
 
 
@@ -40,6 +43,64 @@ def write_links(links: DataFrame, path: str) -> None:
     )
 
 
+def name_files(spark: SparkSession, staged: str, path: str, suffix: str) -> list[str]:
+    """Move what Spark wrote below ``staged``, one folder ``stem=...`` for each stem, to ``path`` under names that tell the stem.
+
+    A stem's file becomes ``{stem}{suffix}``; of several parts each is numbered in their order, before the
+    suffix's ending: ``{stem}.part-2.txt``. Files of these stems that were there before go once the new ones
+    are all written; until then they are untouched. Only names pass through the driver.
+    """
+    jvm = spark._jvm
+    folder = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    files = folder(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(folder(path))
+    body, ending = os.path.splitext(suffix)
+    named = []
+    for status in sorted((s.getPath() for s in files.listStatus(folder(staged))), key=lambda p: p.getName()):
+        if not status.getName().startswith("stem="):
+            continue
+        stem = status.getName().removeprefix("stem=")
+        parts = sorted((s.getPath() for s in files.listStatus(status)), key=lambda p: p.getName())
+        parts = [p for p in parts if p.getName().startswith("part-")]
+        names = [f"{stem}{suffix}"] if len(parts) == 1 else [f"{stem}{body}.part-{i + 1}{ending}" for i in range(len(parts))]
+        numbered = f"{stem}{body}.part-"
+        old = [s.getPath() for s in files.listStatus(folder(path))]
+        for name in old:
+            if name.getName() == f"{stem}{suffix}" or name.getName().startswith(numbered) and name.getName().endswith(ending):
+                files.delete(name, False)
+        for part, name in zip(parts, names):
+            if not files.rename(part, folder(f"{path}/{name}")):
+                raise OSError(f"{part.toString()} cannot become {path}/{name}")
+        named += names
+    files.delete(folder(staged), True)
+    return named
+
+
+def staging(path: str) -> str:
+    """A folder inside of ``path`` that readers of ``path`` do not look into."""
+    return f"{path}/_staged-{uuid.uuid4().hex}"
+
+
+def write_lists(links: DataFrame, path: str) -> list[str]:
+    """Text files ``{stem}.txt`` of sorted URLs in one folder; see ``write_links`` and ``name_files``."""
+    staged = staging(path)
+    write_links(links, staged)
+    return name_files(links.sparkSession, staged, path, ".txt")
+
+
+def write_season_files(rows: DataFrame, path: str, schema: T.StructType = schemas.all_strings(schemas.MATCH), suffix: str = fv.DATA_SUFFIX) -> list[str]:
+    """CSV files ``{stem}_match_data.csv`` with a header, by the column ``stem``, in one folder.
+
+    The columns of the rows that the schema has are written, in its order, so that files may lack some. Rows go
+    as they lie: each task writes a part of each stem it holds.
+    """
+    fields = T.StructType([f for f in schema.fields if f.name in rows.columns])
+    staged = staging(path)
+    typed = conform(rows, T.StructType([*fields.fields, T.StructField("stem", T.StringType())]))
+    typed.write.partitionBy("stem").options(header="true", quote='"', escape='"').csv(staged)
+    return name_files(rows.sparkSession, staged, path, suffix)
+
+
 def write_combined(rows: DataFrame, path: str, input_folder: str, file_format: str = "parquet") -> None:
     """Write a united table outside the folder it was read from, so that it is never read again as input."""
     target, source = (p if "://" in p else os.path.abspath(p) for p in (path, input_folder))

@@ -9,11 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.functions.names import list_stem
 from touchline.operators.status import log_rows
 from touchline.plans.collect import collect_matches, match_table
 from touchline.session import written
-from touchline.sources.lists import any_case, clean_lines
+from touchline.sources.lists import any_case, clean_lines, stem_of
 
 
 def stream_lists(spark: SparkSession, folder: str, archive: str | None = None, files_per_batch: int = 1000) -> DataFrame:
@@ -29,8 +28,8 @@ def stream_lists(spark: SparkSession, folder: str, archive: str | None = None, f
     )
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    lines = reader.load(folder).select("value", F.col("_metadata.file_name").alias("file_name"))
-    return clean_lines(lines).withColumn("stem", list_stem(F.col("file_name")))
+    lines = reader.load(folder).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"))
+    return clean_lines(lines).withColumn("stem", stem_of(F.col("path"))).drop("path")
 
 
 def stream_table(
