@@ -46,7 +46,7 @@ BLOCK_DOCS, BLOCK_CELLS = 8192, 1 << 21
 CHUNK_TERMS = 1 << 16
 BEST = 10
 # Ranges of each item that are halved in one step, and pairs of ranges and terms that are worked on together.
-STEP, STEP_PAIRS = 32, 1 << 20
+STEP, STEP_PAIRS = 32, 1 << 17
 
 BITS = np.array([bin(i).count("1") for i in range(16)], np.int64)
 # BELOW[mask, quarter]: quarters before this one that hold anything.
