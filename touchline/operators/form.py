@@ -19,6 +19,24 @@ def points(goals_for: Column, goals_against: Column) -> Column:
     )
 
 
+def each_match(matches: DataFrame, match_id: str, kickoff: str, own: str) -> DataFrame:
+    """Every match once, and a column that tells matches without id apart: their values, and a number for equal ones.
+
+    Equal rows are counted in the tasks they lie in before they are shuffled, as are rows of equal id.
+    """
+    values = [c for c in matches.columns if c not in (match_id, kickoff)]
+    named = F.coalesce(F.col(match_id).cast("string"), F.lit("")) != ""
+    once = first_per_key(
+        matches.where(named), [match_id], [F.col(kickoff).isNull(), F.col(kickoff), *[F.col(c) for c in values]]
+    )
+    nameless = matches.where(~named).groupBy(*matches.columns).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = nameless.select(*matches.columns, F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
+    identity = F.struct(*values, "_copy")
+    apart = numbered.select(*matches.columns, identity.alias(own))
+    kind = apart.schema[own].dataType
+    return once.withColumn(own, F.lit(None).cast(kind)).unionByName(apart)
+
+
 def form_features(
     matches: DataFrame,
     measures: Sequence[str] = ("xg", "shots_total"),
@@ -33,8 +51,10 @@ def form_features(
     says over how many matches the means go; a team's first match has 0 and NULL means.
 
     A match that is stored more than once counts once: the row with the earliest known kickoff, and of
-    equal ones the one with the smallest values, column by column. Without a known kickoff a match has no
-    place in time: it has 0 and NULL means, and is part of no other match's form.
+    equal ones the one with the smallest values, column by column. Rows without an id (NULL or blank) are
+    matches of their own, each of them. Without a known kickoff a match has no place in time: it has 0 and
+    NULL means, and is part of no other match's form. Matches of a team at the same time go by id, those
+    without one first, by their values.
 
     A team's history is cut into ``band_unit`` bands, each its own group, so that one team with very
     many matches is spread over tasks; the last matches before a band are carried into it. Choose the
@@ -48,17 +68,15 @@ def form_features(
     }
     match = ["match_id", "kickoff_ts", "home_team", "away_team", *kept]
     used = list(dict.fromkeys([*match, *[c for pair in sides.values() for c in pair]]))
-    values = [F.col(c) for c in used if c not in ("match_id", "kickoff_ts")]
-    once = first_per_key(
-        matches.select(*used), ["match_id"], [F.col("kickoff_ts").isNull(), F.col("kickoff_ts"), *values]
-    )
+    once = each_match(matches.select(*used), "match_id", "kickoff_ts", "_own")
+    match = [*match, "_own"]
     rows = team_rows(once, match, sides).withColumn("points", points(F.col("goals_for"), F.col("goals_against")))
     averaged = ["points", "goals_for", "goals_against", *measures]
     features = {f"form_{c}": F.avg(c) for c in averaged}
     features["form_matches"] = F.count(F.lit(1))
     known = rows.where(F.col("kickoff_ts").isNotNull())
     rolled = rolling_last(
-        known, ["team"], ["kickoff_ts", "match_id"], last, features, F.date_trunc(band_unit, F.col("kickoff_ts"))
+        known, ["team"], ["kickoff_ts", "match_id", "_own"], last, features, F.date_trunc(band_unit, F.col("kickoff_ts"))
     )
     timeless = rows.where(F.col("kickoff_ts").isNull()).select(
         *rows.columns,
@@ -67,5 +85,5 @@ def form_features(
     of_side = lambda side: F.max_by(F.struct(*features), F.col("side") == side).alias(f"_{side}")
     wide = rolled.unionByName(timeless).groupBy(*match).agg(*[of_side(side) for side in ("home", "away")])
     return wide.select(
-        *match, *[F.col(f"_{side}.{c}").alias(f"{side}_{c}") for c in features for side in ("home", "away")]
+        *match[:-1], *[F.col(f"_{side}.{c}").alias(f"{side}_{c}") for c in features for side in ("home", "away")]
     )

@@ -12,9 +12,9 @@ from touchline.plans.registry import MATCHES_SQL, order_matches, query, table
 FORM = ["points", "goals_for", "goals_against", "xg", "shots_total"]
 
 
-# Some matches have no kickoff, and some are stored again, a day later and with a goal more.
+# Some matches have no kickoff, some no id, and some are stored again, a day later and with a goal more.
 FORM_MATCHES_SQL = f"""
-    SELECT * EXCLUDE (n) FROM (
+    SELECT * EXCLUDE (n), match_key AS row_key, CASE WHEN match_key % 29 <> 0 THEN match_key END AS match_id FROM (
         SELECT *, row_number() OVER (PARTITION BY match_key ORDER BY day NULLS LAST, home_goals) AS n FROM (
             SELECT * REPLACE (CASE WHEN match_key % 41 <> 0 THEN day END AS day) FROM ({MATCHES_SQL})
             UNION ALL
@@ -22,19 +22,20 @@ FORM_MATCHES_SQL = f"""
                               home_goals + 1 AS home_goals)
             FROM ({MATCHES_SQL}) WHERE match_key % 37 = 0 OR match_key % 82 = 0
         )
-    ) WHERE n = 1
+    ) WHERE n = 1 OR match_key % 29 = 0
 """
 
 
 def form_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The matches with faults: some without kickoff, some stored twice."""
+    """The matches with faults: some without kickoff, some without id, some stored twice."""
     key, kickoff = F.col("match_id"), F.col("kickoff_ts")
     matches = order_matches(spark, sf_dir)
     again = matches.where((key % 37 == 0) | (key % 82 == 0)).withColumns({
         "kickoff_ts": F.when(key % 5 != 0, kickoff + F.expr("INTERVAL 1 DAY")),
         "home_goals": F.col("home_goals") + 1,
     })
-    return matches.withColumn("kickoff_ts", F.when(key % 41 != 0, kickoff)).unionByName(again)
+    faulty = matches.withColumn("kickoff_ts", F.when(key % 41 != 0, kickoff)).unionByName(again)
+    return faulty.withColumn("match_id", F.when(key % 29 != 0, key))
 
 
 def _form_sql() -> str:
@@ -45,22 +46,29 @@ def _form_sql() -> str:
         + [f"{side}.form_matches AS {side}_form_matches" for side in ("h", "a")]
     ).replace(" AS h_", " AS home_").replace(" AS a_", " AS away_")
     return f"""
-    WITH m AS ({FORM_MATCHES_SQL}),
+    WITH m AS (
+        SELECT *, row_key || '/' || home_goals AS row_id, [home_goals, away_goals, home_xg_hundredths, away_xg_hundredths, home_shots, away_shots] AS numbers,
+               'team_' || home_key AS home, 'team_' || away_key AS away,
+               CASE WHEN home_goals > away_goals THEN 'H' WHEN home_goals < away_goals THEN 'A' ELSE 'D' END AS shown
+        FROM ({FORM_MATCHES_SQL})
+    ),
     t AS (
-        SELECT match_key, day, 'home' AS side, home_key AS team, home_goals AS goals_for, away_goals AS goals_against,
-               home_xg_hundredths / 100.0 AS xg, home_shots AS shots_total FROM m
+        SELECT row_id, match_id, day, home, away, shown, numbers, 'home' AS side, home_key AS team, home_goals AS goals_for,
+               away_goals AS goals_against, home_xg_hundredths / 100.0 AS xg, home_shots AS shots_total FROM m
         UNION ALL
-        SELECT match_key, day, 'away', away_key, away_goals, home_goals, away_xg_hundredths / 100.0, away_shots FROM m
+        SELECT row_id, match_id, day, home, away, shown, numbers, 'away', away_key, away_goals, home_goals,
+               away_xg_hundredths / 100.0, away_shots FROM m
     ),
     p AS (SELECT *, CASE WHEN goals_for > goals_against THEN 3 WHEN goals_for = goals_against THEN 1 ELSE 0 END AS points FROM t),
     f AS (
-        SELECT match_key, day, side, team, {averages}, count(*) OVER w AS form_matches
-        FROM p WHERE day IS NOT NULL WINDOW w AS (PARTITION BY team ORDER BY day, match_key ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
-        UNION ALL SELECT match_key, day, side, team, {nothing}, 0 FROM p WHERE day IS NULL
+        SELECT row_id, match_id, day, side, team, {averages}, count(*) OVER w AS form_matches
+        FROM p WHERE day IS NOT NULL
+        WINDOW w AS (PARTITION BY team ORDER BY day, match_id NULLS FIRST, home, away, shown, numbers ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING)
+        UNION ALL SELECT row_id, match_id, day, side, team, {nothing}, 0 FROM p WHERE day IS NULL
     )
-    SELECT h.match_key AS match_id, strftime(h.day, '%Y-%m-%d') AS day, 'team_' || h.team AS home_team,
+    SELECT h.match_id, strftime(h.day, '%Y-%m-%d') AS day, 'team_' || h.team AS home_team,
            'team_' || a.team AS away_team, {picked}
-    FROM f h JOIN f a ON h.match_key = a.match_key WHERE h.side = 'home' AND a.side = 'away'
+    FROM f h JOIN f a ON h.row_id = a.row_id WHERE h.side = 'home' AND a.side = 'away'
     """
 
 

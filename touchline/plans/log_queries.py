@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.operators import logs, retry, status
@@ -206,6 +206,57 @@ def rel_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RETRY_JOB_LOG_SQL = f"""
+    WITH l AS (SELECT *, CASE WHEN line_no % 2 = 0 THEN 'a' ELSE 'b' END AS stem FROM ({EVENT_LOG_SQL}) AS e),
+    q AS (
+        SELECT *, row_number() OVER (PARTITION BY stem, url ORDER BY line_no) AS n FROM l
+        WHERE lower(trim(reason)) IN ('no_stats', 'no_lineups')
+           OR (regexp_matches(trim(non_empty_fields), '^[0-9]+$') AND TRY_CAST(trim(non_empty_fields) AS INT) < 30)
+    ),
+    t AS (
+        SELECT q.*, c_custkey IS NOT NULL AS found, c_nationkey % 4 = 1 AS lost, c_nationkey * 2 + 20 AS after,
+               CASE WHEN regexp_matches(trim(non_empty_fields), '^[0-9]+$') THEN CAST(trim(non_empty_fields) AS INT) END AS before,
+               EXISTS (SELECT 1 FROM events WHERE event_id % 2 = 0 AND CAST(user_id AS VARCHAR) = q.url) AS known
+        FROM q LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON q.url = CAST(c_custkey AS VARCHAR) WHERE n = 1
+    )
+    SELECT stem || '_match_data.csv' AS file_name, url AS match_id, found AND NOT lost AS success,
+           CASE WHEN NOT found THEN 'no page' WHEN lost THEN '404' ELSE 'none' END AS reason,
+           before AS fields_before, CASE WHEN found THEN CAST(after AS INT) END AS fields_after, stem = 'a' AS data_csv_found,
+           COALESCE(found AND NOT lost AND after > COALESCE(before, 0) AND stem = 'a' AND known, false) AS row_updated
+    FROM t
+"""
+
+
+def retry_job(spark: SparkSession, sf_dir: str, fetched: Column) -> tuple[DataFrame, DataFrame]:
+    """Retry candidates of two logs with their new extraction, and the rows of the two data files."""
+    stem = F.when(F.col("line_no") % 2 == 0, "a").otherwise("b")
+    address = lambda number: F.concat(F.lit("https://us.example.com/game/x/?mid="), number)
+    log = event_log(spark, sf_dir).withColumn("file_name", F.concat(stem, F.lit("_scrape_log.csv")))
+    log = log.withColumn("url", F.concat(F.lit(" "), address(F.col("url"))))
+    collected = table(spark, sf_dir, "customer").where(fetched).select(
+        address(F.col("c_custkey").cast("string")).alias("url"),
+        F.when(F.col("c_nationkey") % 4 == 1, "404").otherwise("").alias("status"),
+        (F.col("c_nationkey") * 2 + 20).alias("non_empty_fields"),
+        F.lit("").alias("match_id"),
+        F.col("c_name").alias("stadium"),
+    )
+    tried = retry_plan.retried(log, collected).withColumn("scraped_at", F.lit(""))
+    base = base_rows(spark, sf_dir).select("match_id", "line_no", stem.alias("stem"), F.col("event_type").alias("stadium"))
+    absent = [c for c in retry_plan.MATCH_COLUMNS if c not in base.columns]
+    return tried, base.select("*", *[F.lit("").alias(c) for c in absent])
+
+
+@query("job_retry_log", RETRY_JOB_LOG_SQL)
+def job_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the retry job: a row for each candidate, also for those without a page; only one data file is there."""
+    tried, base = retry_job(spark, sf_dir, F.col("c_custkey") % 3 != 0)
+    rows = retry_plan.retry_log_rows(base, tried, spark.createDataFrame([("a",)], "stem string"))
+    return rows.select(
+        "file_name", F.regexp_extract("url", "mid=(.*)$", 1).alias("match_id"), "success", "reason", "fields_before",
+        "fields_after", "data_csv_found", "row_updated",
+    )
+
+
 @query(
     "job_retry",
     f"""
@@ -232,21 +283,7 @@ def rel_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def job_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retry job over the logs of two data files that hold the same ids; each log patches its own file."""
-    stem = F.when(F.col("line_no") % 2 == 0, "a").otherwise("b")
-    address = lambda number: F.concat(F.lit("https://us.example.com/game/x/?mid="), number)
-    log = event_log(spark, sf_dir).withColumn("file_name", F.concat(stem, F.lit("_scrape_log.csv")))
-    log = log.withColumn("url", F.concat(F.lit(" "), address(F.col("url"))))
-    collected = table(spark, sf_dir, "customer").select(
-        address(F.col("c_custkey").cast("string")).alias("url"),
-        F.when(F.col("c_nationkey") % 4 == 1, "404").otherwise("").alias("status"),
-        (F.col("c_nationkey") * 2 + 20).alias("non_empty_fields"),
-        F.lit("").alias("match_id"),
-        F.col("c_name").alias("stadium"),
-    )
-    tried = retry_plan.retried(log, collected).withColumn("scraped_at", F.lit(""))
-    base = base_rows(spark, sf_dir).select("match_id", "line_no", stem.alias("stem"), F.col("event_type").alias("stadium"))
-    absent = [c for c in retry_plan.MATCH_COLUMNS if c not in base.columns]
-    base = base.select("*", *[F.lit("").alias(c) for c in absent])
+    tried, base = retry_job(spark, sf_dir, F.lit(True))
     return retry_plan.patched_table(base, tried, "line_no").select("line_no", "stem", "match_id", "stadium", "patched")
 
 

@@ -20,6 +20,7 @@ from touchline.operators.retry import (
 )
 
 KEYS = ("stem", "match_id")
+NO_PAGE = "no page"
 MATCH_COLUMNS = [f.name for f in schemas.MATCH.fields]
 
 
@@ -28,7 +29,7 @@ def retried(logs: DataFrame, collected: DataFrame, threshold: int = fv.RETRY_THR
 
     ``logs`` is the log text with ``file_name`` and optionally ``line_no``; without line numbers rows
     go by (scraped_at, url). ``collected`` is what ``collect_matches`` gives, with ``scraped_at``
-    of the new run if known.
+    and ``error`` of the new run if known. A candidate without a page in the new run has the error ``no page``.
     """
     by_time = ["scraped_at", "url", "reason", "non_empty_fields"]
     order = [F.col(c) for c in (["line_no"] if "line_no" in logs.columns else by_time)]
@@ -40,8 +41,12 @@ def retried(logs: DataFrame, collected: DataFrame, threshold: int = fv.RETRY_THR
         log_stem(F.col("file_name")).alias("stem"),
     )
     new = collected.withColumn("fields_after", F.col("non_empty_fields")).drop("non_empty_fields", "match_id")
+    known = F.col("error") if "error" in new.columns else F.lit(None).cast("string")
+    new = new.withColumn("error", known).withColumn("_found", F.lit(True))
     return (
-        old.join(new, "url")
+        old.join(new, "url", "left")
+        .withColumn("error", F.when(F.col("_found").isNull(), NO_PAGE).otherwise(F.col("error")))
+        .drop("_found")
         .withColumn("match_id", match_id(F.col("url")))
         .withColumn("has_data", ~F.col("status").isin("false", "404", "403"))
         .withColumn("file_name", F.concat(F.col("stem"), F.lit(fv.DATA_SUFFIX)))
