@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from touchline.plans import log_queries
 from touchline.plans.registry import query, table
 from touchline.session import new_folder
-from touchline.streaming import ingest, patch
+from touchline.streaming import ingest, patch, waiting
 
 
 @query(
@@ -80,3 +80,51 @@ def stream_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = ingest.stream_lists(spark, listed)
         ingest.collect_stream(stream, there, "example.com", matches, log, checkpoint).awaitTermination()
     return spark.read.parquet(log).select("url", "reason", "success")
+
+
+@query(
+    "stream_waiting",
+    """
+    SELECT 'https://us.example.com/game/a/b' || o_orderkey || '/?mid=M' || o_orderkey AS url,
+           CASE WHEN o_orderkey % 5 = 0 THEN 'no page' WHEN o_orderkey % 3 = 0 THEN '404' WHEN o_orderkey % 3 = 1 THEN '403'
+                ELSE 'no_data' END AS reason, false AS success, o_orderkey % 5 = 0 AS late
+    FROM orders WHERE o_orderkey % 7 <> 0
+    """,
+)
+def stream_waiting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of listed URLs, kept as state until their pages come; the last pages come without a list, some never.
+
+    Pages that no list names stay out. The pages lie in URL buckets, of which a batch reads those it needs.
+    """
+    number = F.col("o_orderkey")
+    text = number.cast("string")
+    url = F.concat(F.lit("https://us.example.com/game/a/b"), text, F.lit("/?mid=M"), text)
+    title = F.when(number % 3 == 0, "404").otherwise("A match")
+    body = F.when(number % 3 == 1, "Forbidden").otherwise("Nothing")
+    html = F.concat(F.lit("<html><title>"), title, F.lit("</title><p>"), body, F.lit("</p></html>"))
+    orders = table(spark, sf_dir, "orders").select(number, url.alias("url"), F.lit("summary").alias("tab"), html.alias("html"))
+    lists, fetched, matches, log, checkpoint = (new_folder(spark, n) for n in ("listed", "pages", "matches", "log", "state"))
+    schema = "url string, html string, bucket int, tab string"
+    nobody, comes = F.lit(False), number % 5 != 0
+    hour_ms = 3_600_000
+    lots = [
+        # listed, arriving, patience: a list with a third of its pages, and pages that are not listed yet
+        (comes & (number % 2 == 0), comes & (number % 3 == 0), hour_ms),
+        (comes & (number % 2 == 1), nobody, hour_ms),
+        (nobody, comes & (number % 3 != 0), hour_ms),  # pages alone
+        (~comes, nobody, 1),  # listed for a millisecond, without pages
+        (comes & (number % 2 == 0), nobody, hour_ms),  # listed again, which changes nothing but the time
+    ]
+    for listing, arriving, patience_ms in lots:
+        listed = orders.where(listing & (number % 7 != 0)).select(F.col("url").alias("value"))
+        listed.write.mode("append").text(lists)
+        waiting.write_pages(orders.where(arriving).drop("o_orderkey"), fetched, PAGE_BUCKETS)
+        there = spark.read.schema(schema).parquet(fetched)
+        arrived = ingest.stream_table(spark, fetched, there.schema).where("tab = 'summary'").select("url")
+        waiting.collect_waiting(
+            ingest.stream_lists(spark, lists), arrived, there, "example.com", matches, log, checkpoint, patience_ms, PAGE_BUCKETS
+        ).awaitTermination()
+    return spark.read.parquet(log).select("url", "reason", "success", (F.col("reason") == waiting.NO_PAGE).alias("late"))
+
+
+PAGE_BUCKETS = 8
