@@ -67,5 +67,38 @@ def test_chains_bridge_small_gaps_only():
     assert not any(s.covered == len(words) for s in far)
 
 
+NOTICES = [
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc-by-nd", "Photos by Ann, licensed under CC BY-ND 4.0, text by Bo."),
+    ("lgpl-3", licenses.gnu_notice("library", "Lesser General Public License", "3")),
+    ("agpl-3", licenses.gnu_notice("program", "Affero General Public License", "3")),
+    ("gpl-2", licenses.gnu_notice("program", "General Public License", "2")),
+    ("gpl-3", "It is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+     "by the Free Software Foundation, either version 3 of the License"),
+    ("mpl-2", "Mozilla Public License Version 2.0"),
+    ("mpl-2", licenses.MPL_NOTICE),
+    ("epl-2", licenses.EPL_NOTICE),
+    ("isc", licenses.ISC_GRANT + " " + licenses.AS_IS[:60]),
+    ("bsd-3", licenses.BSD_CONDITIONS + " " + licenses.BSD_NAMES),
+    ("bsd-2", licenses.BSD_CONDITIONS + " " + licenses.BSD_AS_IS),
+    ("mit", licenses.MIT_GRANT.replace("Software", "Work") + licenses.AS_IS),
+    ("apache-2", licenses.APACHE_NOTICE),
+    ("unlicense", licenses.UNLICENSE[:150]),
+    ("agpl-3,mit", "The server is released under the GNU Affero General Public License, version 3; " + "it has many parts and users " * 3 +
+     "and the client is released under the MIT License."),
+    ("", "The library is free for all who read; a license to publish is granted by the ministry under the terms of the law."),
+    ("", "We redistribute bread in source villages and the General Assembly of the public met."),
+]
+
+
+def test_standard_notices_get_the_label_of_their_own_license(spark):
+    texts = [(i, f"Some words before it.\n{text}\nAnd words after it.") for i, (_, text) in enumerate(NOTICES)]
+    got = {r["doc_id"]: r for r in licenses.scan(documents(spark, texts), ["doc_id"]).collect()}
+    for i, (labels, text) in enumerate(NOTICES):
+        assert got[i]["labels"] == labels, (text, got[i]["spans"])
+
+
 def test_empty_table(spark):
     assert licenses.scan(no_documents(spark), ["doc_id"]).collect() == []

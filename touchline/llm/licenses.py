@@ -3,7 +3,8 @@
 The automaton holds every run of words of all templates. A document's words are streamed through it;
 at each word it knows the longest run ending there that occurs in a template. Maximal long runs are
 chained per template, in the order of document and template with small gaps, and a chain that covers
-enough of its template becomes a span with that template's label.
+enough of its template becomes a span with that template's label. Of chains over the same words only
+the one that covers most stays, so a notice gets the label of its own license.
 
 Words are longest runs of digits, ASCII letters (lower-cased) and characters outside ASCII. NULL and
 empty texts hold none. Besides, fixed phrases are found wherever their words stand consecutively;
@@ -31,35 +32,131 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-# Public license notices, as their owners word them.
+# Names of licenses. Each alone is a template, as is being licensed or released under it.
+NAMES = (
+    ("mit", "MIT License"),
+    ("apache-2", "Apache License, Version 2.0"),
+    ("bsd-2", "BSD 2-Clause License"),
+    ("bsd-3", "BSD 3-Clause License"),
+    ("isc", "ISC License"),
+    ("gpl-2", "GNU General Public License, version 2"),
+    ("gpl-3", "GNU General Public License, version 3"),
+    ("lgpl-2.1", "GNU Lesser General Public License, version 2.1"),
+    ("lgpl-3", "GNU Lesser General Public License, version 3"),
+    ("agpl-3", "GNU Affero General Public License, version 3"),
+    ("mpl-2", "Mozilla Public License, Version 2.0"),
+    ("epl-2", "Eclipse Public License, Version 2.0"),
+    ("boost", "Boost Software License, Version 1.0"),
+    ("cc-by", "CC BY 4.0"),
+    ("cc-by-sa", "CC BY-SA 4.0"),
+    ("cc-by-nd", "CC BY-ND 4.0"),
+    ("cc-by-nc", "CC BY-NC 4.0"),
+    ("cc-by-nc-sa", "CC BY-NC-SA 4.0"),
+    ("cc-by-nc-nd", "CC BY-NC-ND 4.0"),
+)
+CREATIVE_COMMONS = (
+    ("cc-by", "Attribution"),
+    ("cc-by-sa", "Attribution-ShareAlike"),
+    ("cc-by-nd", "Attribution-NoDerivatives"),
+    ("cc-by-nc", "Attribution-NonCommercial"),
+    ("cc-by-nc-sa", "Attribution-NonCommercial-ShareAlike"),
+    ("cc-by-nc-nd", "Attribution-NonCommercial-NoDerivatives"),
+)
+
+# Public license texts and standard notices, as their owners word them.
+AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
+    "WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR "
+    "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+BSD_CONDITIONS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+BSD_AS_IS = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+    "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+MIT_GRANT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights '
+    "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to "
+    "whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this "
+    "permission notice shall be included in all copies or substantial portions of the Software."
+)
+ISC_GRANT = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+    "provided that the above copyright notice and this permission notice appear in all copies."
+)
+APACHE_NOTICE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the "
+    "License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable "
+    "law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
+    "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+    "permissions and limitations under the License."
+)
+MPL_NOTICE = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+EPL_NOTICE = (
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v. 2.0 which "
+    "is available at https://www.eclipse.org/legal/epl-2.0."
+)
+UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+    "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+    "commercial or non-commercial, and by any means."
+)
+BOOST_GRANT = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and "
+    "transmit the Software, and to prepare derivative works of the Software"
+)
+
+
+def gnu_notice(thing: str, name: str, version: str) -> str:
+    """The notice that goes into each source file; it is worded alike for all licenses of the family."""
+    return (
+        f"This {thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published "
+        f"by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+        f"{thing} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+        f"of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+    )
+
+
 TEMPLATES = (
-    ("mit", "Released under the MIT License."),
-    (
-        "mit",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
-        "documentation files, to deal in the Software without restriction, including without limitation the rights to "
-        "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software",
-    ),
-    ("apache-2", "Licensed under the Apache License, Version 2.0"),
-    (
-        "apache-2",
-        "you may not use this file except in compliance with the License. You may obtain a copy of the License at "
-        "http www apache org licenses LICENSE-2.0",
-    ),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("mit", MIT_GRANT + " " + AS_IS),
+    ("isc", ISC_GRANT),
+    ("bsd-2", BSD_CONDITIONS + " " + BSD_AS_IS),
+    ("bsd-3", BSD_CONDITIONS + " " + BSD_NAMES + " " + BSD_AS_IS),
+    ("apache-2", APACHE_NOTICE),
+    ("gpl-2", gnu_notice("program", "General Public License", "2")),
+    ("gpl-3", gnu_notice("program", "General Public License", "3")),
+    ("lgpl-2.1", gnu_notice("library", "Lesser General Public License", "2.1")),
+    ("lgpl-3", gnu_notice("library", "Lesser General Public License", "3")),
+    ("agpl-3", gnu_notice("program", "Affero General Public License", "3")),
+    ("mpl-2", MPL_NOTICE),
+    ("epl-2", EPL_NOTICE),
+    ("unlicense", UNLICENSE),
+    ("boost", BOOST_GRANT),
+    *[(label, name) for label, name in NAMES if len(name.split()) > 2],
+    *[(label, f"{done} under {'' if name.startswith('CC') else 'the '}{name}") for label, name in NAMES for done in ("licensed", "released")],
+    *[(label, f"This work is licensed under a Creative Commons {name} 4.0 International License") for label, name in CREATIVE_COMMONS],
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    (
-        "gpl-3",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License",
-    ),
-    (
-        "bsd",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-        "the following conditions are met",
-    ),
 )
 
 # A run of at least so many words is kept; gaps in a chain; the part of a template that a chain has to cover,
@@ -202,6 +299,23 @@ def accepted(span: Span) -> bool:
     return span.share >= MIN_SHARE or span.covered >= ENOUGH_WORDS
 
 
+def chosen(spans: list[Span], n_words: int) -> list[Span]:
+    """Accepted spans; of those that share most of their words only the one that covers most of its template.
+
+    Notices of related licenses differ in a word or two, so a text chains to all of them. The most words
+    decide, then the larger part of the template.
+    """
+    good = sorted(filter(accepted, spans), key=lambda s: (-s.covered, -s.share, s.first, s.last, s.label))
+    taken = np.zeros(n_words, bool)
+    kept = []
+    for s in good:
+        own = taken[s.first : s.last + 1]
+        if 2 * int(own.sum()) < len(own):
+            kept.append(s)
+            own[:] = True
+    return sorted(kept, key=lambda s: (s.first, s.last, s.label, -s.covered))
+
+
 @lru_cache(maxsize=4)
 def automaton(templates: tuple[tuple[str, str], ...]) -> Automaton:
     return Automaton(templates)
@@ -249,7 +363,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text", templates=TEMPLAT
                 for d in range(part.num_rows):
                     a, b = found.first[d], found.first[d + 1]
                     chains = use.spans(found.key[a:b])
-                    good = [s for s in chains if accepted(s)]
+                    good = chosen(chains, int(b - a))
                     part_covered = [max(s.share, s.covered / ENOUGH_WORDS if s.covered >= 6 else 0.0) for s in chains]
                     rows.append(
                         (
