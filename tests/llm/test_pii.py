@@ -67,6 +67,49 @@ def test_base_spans_stay_and_the_method_adds_some(spark):
     assert "token = " in added
 
 
+def planted(rounds=40):
+    """(text, what the method should add, what it should leave)."""
+    out = []
+    for i in range(rounds):
+        card = f"4{i:03d}56{i % 10}8"
+        whole = next(f"{card}{n:08d}" for n in range(10) if pii.luhn(f"{card}{n:08d}"))
+        broken = whole[:-1] + str((int(whole[-1]) + 1) % 10)
+        dotted = ".".join(whole[k : k + 4] for k in range(0, 16, 4))
+        out += [
+            (f"My credit card is {dotted} thanks {i}.", [dotted], []),
+            (f"The row id {broken} stands in line {i}.", [], [broken]),
+            (f"Long digits {whole}{broken} of a hash {i}", [], [whole, broken]),
+            (f"Please call (555) {200 + i}-{1000 + 37 * i} or fax later", [f"(555) {200 + i}-{1000 + 37 * i}"], []),
+            (f"It was on 2021-04-{10 + i % 18} 12{i % 10} that they met", [], [f"2021-04-{10 + i % 18}"]),
+            (f"See page {1000000 + 7919 * i} of the issue", [], [str(1000000 + 7919 * i)]),
+            (f"Contact user{i} (at) mail (dot) example (dot) com by mail", [f"user{i} (at) mail (dot) example (dot) com"], []),
+            (f"Set api_key = 'a9f3k2{i:03d}Zq8x7' in the file", [f"api_key = 'a9f3k2{i:03d}Zq8x7"], []),
+            (f"Base ones: a{i}@example.com, +1 (555) 010-{1000 + i}, 10.0.{i}.7", [], []),
+        ]
+    return out
+
+
+def test_precision_and_recall_on_planted_spans(spark):
+    cases = planted()
+    docs = documents(spark, [(i, t) for i, (t, _, _) in enumerate(cases)])
+    got = {r["doc_id"]: r for r in pii.find(docs, pii.train(docs)).collect()}
+    found = wrong = wanted = 0
+    for i, (text, add, leave) in enumerate(cases):
+        added = [text[s["start"] : s["end"]] for s in got[i]["spans_"] if not s["base"]]
+        wanted += len(add)
+        found += sum(any(a in x or x in a for x in added) for a in add)
+        wrong += sum(not any(a in x or x in a for a in add) for x in added)
+        for s in got[i]["spans_"]:
+            assert s["kind"] != "phone" or sum(c.isdigit() for c in text[s["start"] : s["end"]]) <= 15
+    assert found >= 0.9 * wanted and wrong <= 0.05 * wanted, (found, wrong, wanted)
+
+
+def test_a_gazetteer_is_a_parameter():
+    own = pii.Gazetteer({k: ("zorp",) if k == "phone" else () for k in pii.KINDS}, ("blick",))
+    votes = lambda text: [c.votes[1:3] for c in pii.candidates(text, own)]
+    assert votes("zorp 555 123 4567") == [(1, 0)] and votes("call 555 123 4567") == [(0, 0)] and votes("blick 555 123 4567") == [(0, -1)]
+
+
 def test_the_model_does_not_hang_on_partitions(spark):
     one = pii.train(documents(spark, made_texts()).repartition(1))
     two = pii.train(documents(spark, made_texts()).repartition(6))

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 from zlib import crc32
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.text import slices
+from touchline.llm.text import free_name, slices
 from touchline.session import written
 
 KINDS = ("email", "ip", "card", "phone", "secret")
@@ -55,19 +56,56 @@ SECRET = re.compile(
     r"(?:token|key|secret|password|passwd|pwd)[A-Za-z_]{0,20}[\x20]{0,4}[=:][\x20]{0,4}[\"']?[A-Za-z0-9+/_-]{8,}", re.I
 )
 
-NEAR = 24
-NEAR_WORDS = {
-    "email": ("mail", "contact", "write", "reach"),
-    "ip": ("ip", "host", "server", "address", "addr"),
-    "card": ("card", "visa", "credit", "pay", "account"),
-    "phone": ("phone", "tel", "call", "mobile", "fax", "contact"),
-    "secret": ("token", "key", "secret", "password"),
-}
-NOT_NEAR = ("version", "isbn", "page", "section", "chapter", "figure", "no.", "year", "issue", "license")
+NEAR = 32
+
+
+class Gazetteer(NamedTuple):
+    """Words that speak for a kind of personal data near it, and words that speak against any.
+
+    A word of at least four letters also counts as the beginning of a longer one.
+    """
+
+    near: dict[str, tuple[str, ...]]
+    against: tuple[str, ...]
+
+
+# English, German, French and Spanish words; a table of one's own goes to ``train``.
+GAZETTEER = Gazetteer(
+    {
+        "email": (
+            "mail", "email", "e-mail", "contact", "write", "reach", "address", "kontakt", "schreiben", "adresse", "courriel",
+            "contacter", "écrire", "correo", "escribir", "contacto", "dirección",
+        ),
+        "ip": (
+            "ip", "ipv4", "host", "server", "address", "addr", "client", "gateway", "subnet", "login", "rechner", "adresse",
+            "serveur", "servidor", "dirección",
+        ),
+        "card": (
+            "card", "visa", "mastercard", "amex", "credit", "debit", "paid", "payment", "kredit", "karte", "bezahl", "carte",
+            "bancaire", "paiement", "tarjeta", "crédito", "débito", "pago",
+        ),
+        "phone": (
+            "phone", "telephone", "tel", "call", "mobile", "cell", "fax", "whatsapp", "sms", "dial", "ring", "contact", "telefon",
+            "handy", "anruf", "rufen", "téléphone", "portable", "appeler", "appelez", "teléfono", "móvil", "llamar", "llame",
+        ),
+        "secret": ("token", "key", "secret", "password", "passwd", "pwd", "api", "auth", "credential", "bearer", "login"),
+    },
+    (
+        "version", "isbn", "issn", "doi", "page", "pages", "section", "chapter", "figure", "table", "no", "nr", "year", "issue",
+        "license", "order", "invoice", "serial", "part", "build", "release", "seite", "kapitel", "jahr", "bestellung", "rechnung",
+        "chapitre", "année", "commande", "facture", "página", "capítulo", "año", "pedido", "factura", "score", "row", "line",
+    ),
+)
+
+# Digits that are a date or a time are no number to call or to pay with.
+DATE_OR_TIME = re.compile(r"(?<![0-9])(?:(?:19|20)\d\d[-/.](?:0?[1-9]|1[0-2])[-/.][0-3]?\d|[0-3]?\d[-/.](?:0?[1-9]|1[0-2])[-/.](?:19|20)\d\d)(?![0-9])")
+CARD_GROUPS = re.compile(r"\d{4}[ .-]\d{4}[ .-]\d{4}[ .-]\d{1,7}|\d{4}[ .-]\d{6}[ .-]\d{5}")
+PHONE_GROUPS = re.compile(r"\(?\d{1,5}\)?(?:[ .()/-]{1,2}\d{2,6}){1,5}")
 
 LABELERS = 6
 FEATURE_BITS = 14
 MAX_SAMPLE = 20_000
+TRUST = 3.0
 
 
 class Candidate(NamedTuple):
@@ -138,7 +176,22 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def _loose_spans(text: str) -> list[tuple[str, int, int]]:
+@lru_cache(maxsize=64)
+def _word_search(listed: tuple[str, ...]) -> re.Pattern:
+    """Finds a listed word, or one that begins with a listed word of at least four letters."""
+    begins = "|".join(re.escape(w) for w in listed if len(w) >= 4)
+    whole = "|".join(re.escape(w) for w in listed if len(w) < 4)
+    choices = [c for c in (begins, f"(?:{whole})(?![^\\W_])" if whole else "") if c]
+    return re.compile(rf"(?<![^\W_])(?:{'|'.join(choices) or '(?!)'})")
+
+
+def _near(text: str, start: int, end: int) -> str:
+    """What stands around a span, in lower case."""
+    return f"{text[max(0, start - NEAR) : start]} {text[end : end + NEAR]}".lower()
+
+
+def _loose_spans(text: str, gazetteer: Gazetteer) -> list[tuple[str, int, int]]:
+    """What might be personal data. Digits that fail the check digit may be a card only where words say so."""
     lower = text.lower()
     found = []
     if " at " in lower or "at)" in lower or "at]" in lower:
@@ -148,37 +201,44 @@ def _loose_spans(text: str) -> list[tuple[str, int, int]]:
         found += [("secret", *m.span()) for m in SECRET.finditer(text)]
     if HAS_DIGIT.search(text):
         for m in DIGITS.finditer(text):
-            n = len(_digits(m[0]))
-            if n >= 7:
-                found.append(("card" if 13 <= n <= 19 else "phone", *m.span()))
+            digits, (start, end) = _digits(m[0]), m.span()
+            if DATE_OR_TIME.search(m[0]):
+                continue
+            if 13 <= len(digits) <= 19 and (luhn(digits) or _word_search(gazetteer.near["card"]).search(_near(text, start, end))):
+                found.append(("card", start, end))
+            elif 7 <= len(digits) <= 15:
+                found.append(("phone", start, end))
     return found
 
 
-def _votes(kind: str, text: str, before: str, after: str, base: bool) -> tuple[int, ...]:
-    """1 for personal data, -1 against, 0 for no opinion, from each labeler."""
+def _votes(kind: str, text: str, before: str, after: str, base: bool, gazetteer: Gazetteer = GAZETTEER) -> tuple[int, ...]:
+    """1 for personal data, -1 against, 0 for no opinion, from each labeler.
+
+    They look at the strict pattern, words near it for and against, the check digit, repeated digits, and form. Digits that only look long enough have the form's vote alone.
+    """
     near = (before + " " + after + (" " + text if kind == "secret" else "")).lower()
     digits = _digits(text)
     letters = sum(c.isalpha() for c in text)
     return (
         1 if base else 0,
-        1 if any(w in near for w in NEAR_WORDS[kind]) else 0,
-        -1 if any(w in near for w in NOT_NEAR) else 0,
+        1 if _word_search(gazetteer.near[kind]).search(near) else 0,
+        -1 if _word_search(gazetteer.against).search(near) else 0,
         (1 if luhn(digits) else -1) if kind == "card" else 0,
-        (1 if len(set(digits)) >= 4 else -1) if len(digits) >= 7 else 0,
+        -1 if len(digits) >= 7 and len(set(digits)) < 4 else 0,
         {
             "email": 1 if "@" in text or "dot" in text.lower() or "." in text else -1,
             "ip": 1 if text.count(".") == 3 else -1,
-            "card": 1 if len(digits) in (14, 15, 16) else -1,
-            "phone": 1 if 9 <= len(digits) <= 15 and (text[0] in "+(" or re.search(r"[ ().-]", text)) else -1,
+            "card": 1 if CARD_GROUPS.fullmatch(text) else 0,
+            "phone": 1 if text[0] in "+(" or PHONE_GROUPS.fullmatch(text) and 9 <= len(digits) <= 15 else -1,
             "secret": 1 if len(digits) >= 3 and letters >= 3 else -1,
         }[kind],
     )
 
 
-def candidates(text: str) -> list[Candidate]:
+def candidates(text: str, gazetteer: Gazetteer = GAZETTEER) -> list[Candidate]:
     """Base spans, and loose ones that touch no base span and no loose one before them."""
     base = base_spans(text)
-    loose = _loose_spans(text)
+    loose = _loose_spans(text, gazetteer)
     if not base and not loose:
         return []
     taken = sorted((a, b) for _, a, b in base)
@@ -195,7 +255,7 @@ def candidates(text: str) -> list[Candidate]:
     out = []
     for k, a, b, is_base in kept:
         before, after = text[max(0, a - NEAR) : a], text[b : b + NEAR]
-        out.append(Candidate(k, a, b, is_base, _votes(k, text[a:b], before, after, is_base), text[a:b], before, after))
+        out.append(Candidate(k, a, b, is_base, _votes(k, text[a:b], before, after, is_base, gazetteer), text[a:b], before, after))
     return out
 
 
@@ -212,20 +272,21 @@ def features(c: Candidate) -> np.ndarray:
 def reliabilities(patterns: dict[tuple[int, ...], int], rounds: int = 60) -> dict[tuple[int, ...], float]:
     """The chance of being personal data for each vote pattern, by expectation-maximisation.
 
-    Two classes, labelers independent within a class; a labeler without an opinion says nothing. It
-    starts from the majority of the votes, which also says which class is which, and smooths every
-    count by 1.
+    Two classes, labelers independent within a class; having no opinion is a vote, too, since a labeler that
+    only ever speaks against says something by that. It starts from the majority of the votes, which also
+    says which class is which. Every count is smoothed by 1, and by ``TRUST`` more where a labeler is right.
     """
     if not patterns:
         return {}
     votes = np.array(list(patterns), np.int64)
     count = np.array(list(patterns.values()), float)
     chance = 1 / (1 + np.exp(-1.5 * votes.sum(axis=1)))
-    one_hot = np.stack([votes < 0, votes > 0], axis=2).astype(float)
+    one_hot = np.stack([votes < 0, votes == 0, votes > 0], axis=2).astype(float)
     for _ in range(rounds):
         logs = []
-        for weight in (count * chance, count * (1 - chance)):
+        for weight, right in ((count * chance, 2), (count * (1 - chance), 0)):
             table = np.einsum("p,plv->lv", weight, one_hot) + 1
+            table[:, right] += TRUST
             table /= table.sum(axis=1, keepdims=True)
             share = (weight.sum() + 1) / (count.sum() + 2)
             logs.append(np.log(share) + np.einsum("plv,lv->p", one_hot, np.log(table)))
@@ -236,6 +297,7 @@ def reliabilities(patterns: dict[tuple[int, ...], int], rounds: int = 60) -> dic
 class Model(NamedTuple):
     weights: np.ndarray
     bias: float
+    gazetteer: Gazetteer = GAZETTEER
 
     def chance(self, buckets: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.weights[buckets].sum() + self.bias, -35, 35))))
@@ -256,13 +318,16 @@ def fit(rows: list[tuple[np.ndarray, float]], epochs: int = 8, rate: float = 0.3
     return Model(weights, float(bias))
 
 
-def train(docs: DataFrame, text: str = "text", max_sample: int = MAX_SAMPLE) -> Model:
-    """Vote patterns over all documents, then the classifier on a bounded sample of candidates."""
+def train(docs: DataFrame, text: str = "text", max_sample: int = MAX_SAMPLE, gazetteer: Gazetteer = GAZETTEER) -> Model:
+    """Vote patterns over all documents, then the classifier on a bounded sample of candidates.
+
+    The gazetteer goes with the model, so that the same words speak when it is used.
+    """
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                found = [c for t in part.column("text").to_pylist() for c in candidates(t or "")]
+                found = [c for t in part.column("text").to_pylist() for c in candidates(t or "", gazetteer)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(["".join("-0+"[v + 1] for v in c.votes) for c in found], pa.string()),
@@ -279,12 +344,13 @@ def train(docs: DataFrame, text: str = "text", max_sample: int = MAX_SAMPLE) ->
     counts = {parse(r["votes"]): r["n"] for r in found.groupBy("votes").agg(F.sum("n").alias("n")).collect()}
     chances = reliabilities(dict(sorted(counts.items())))
     sample = found.orderBy("deal", "votes", "features").limit(max_sample).collect()
-    return fit([(np.frombuffer(r["features"], "<i4").astype(np.int64), chances[parse(r["votes"])]) for r in sample])
+    model = fit([(np.frombuffer(r["features"], "<i4").astype(np.int64), chances[parse(r["votes"])]) for r in sample])
+    return model._replace(gazetteer=gazetteer)
 
 
 def spans_of(text: str, model: Model, threshold: float = 0.5) -> list[tuple[str, int, int, bool]]:
     """All spans of a text (kind, start, end, whether base), by kind as listed, then start."""
-    found = [c for c in candidates(text) if c.base or model.chance(features(c)) >= threshold]
+    found = [c for c in candidates(text, model.gazetteer) if c.base or model.chance(features(c)) >= threshold]
     return sorted(((c.kind, c.start, c.end, c.base) for c in found), key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -294,7 +360,11 @@ SPAN_TYPE = pa.list_(
 
 
 def find(docs: DataFrame, model: Model, text: str = "text", name: str = "spans") -> DataFrame:
-    """The input with an array of spans (kind, start, end, base). No shuffle; the model has a fixed size."""
+    """The input with an array of spans (kind, start, end, base). No shuffle; the model has a fixed size.
+
+    If the input has a column of that name, the array gets the next free one (``spans_``).
+    """
+    name = free_name(name, docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
     names, schema = docs.columns, docs.select("*", F.lit(None).cast(kind).alias(name)).schema
