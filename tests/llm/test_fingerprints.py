@@ -90,3 +90,9 @@ def test_empty_table_and_plain_fingerprints(spark):
     assert fp.edited_fingerprints(no_documents(spark)).collect() == []
     got = fp.fingerprints(documents(spark)).collect()
     assert [r["fingerprint"] for r in got] == [fp.written(fp.vector(r["text"] or "")) for r in got]
+
+
+def test_a_column_called_fingerprint_stays(spark):
+    docs = documents(spark).withColumnRenamed("node", "Fingerprint")
+    got = fp.fingerprints(docs).collect()
+    assert {r["Fingerprint"] for r in got} == {"n"} and len({r["fingerprint_"] for r in got}) > 5

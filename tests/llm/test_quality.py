@@ -64,3 +64,5 @@ def test_empty_tables(spark):
     assert model.rows == 0 and not model.weights.any()
     assert quality.score(no_documents(spark), model, name="made").collect() == []
     assert quality.score(documents(spark), model, name="made").where(F.col("made") != 0.5).count() == 0
+    clashing = quality.score(documents(spark), model).collect()  # the table has a column called score
+    assert {r["score"] for r in clashing} == {0.5} and {r["score_"] for r in clashing} == {0.5}

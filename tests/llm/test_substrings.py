@@ -50,6 +50,14 @@ def test_all_kinds_of_rows(spark):
     assert len(rows(documents(spark))) == len(TEXTS)
 
 
+def test_the_largest_id_is_no_missing_one(spark):
+    passage = TEXTS[4][1]
+    docs = documents(spark, [(substrings.LAST_ID, "a" + passage), (None, "b" + passage), (substrings.LAST_ID, "alone")])
+    got = sorted((r["doc_id"] is None, r["n_bytes"]) for r in substrings.without_repeats(docs).collect())
+    n = len(passage) + 1
+    assert got == [(False, 5), (False, n), (True, n)]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_texts_with_shared_passages(spark, seed):
     texts = made_texts(seed)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.text import ODD, slices
+from touchline.llm.text import ODD, free_name, slices
 
 EQUAL_LANES = 32
 LIKE_LANES = 128
@@ -113,15 +113,15 @@ def replace_end(text: str, own: np.ndarray, keep: int, end: str) -> tuple[str, n
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input with a column ``fingerprint``; no shuffle."""
-    schema = docs.withColumn("fingerprint", F.lit("")).schema
-    names = docs.columns
+    """The input with a column ``fingerprint``, or the next free name if it has one of that name; no shuffle."""
+    name, names = free_name("fingerprint", docs.columns), docs.columns
+    schema = docs.withColumn(name, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
                 made = [written(vector(t or "")) for t in part.column(text).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.string())], [*names, "fingerprint"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.string())], [*names, name])
 
     return docs.mapInArrow(run, schema)
 

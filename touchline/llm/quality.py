@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.text import ODD, mix, run_keys, slices, text_bytes
+from touchline.llm.text import ODD, free_name, mix, run_keys, slices, text_bytes
 from touchline.session import written
 
 BITS = 18
@@ -226,8 +226,10 @@ def train(
 def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
     """The input with a score column (0 to 1), read from the text alone. No shuffle.
 
-    The model that goes to the executors has 2**bits weights, whatever the corpus.
+    The model that goes to the executors has 2**bits weights, whatever the corpus. If the input has a
+    column of that name, the score gets the next free one (``score_``).
     """
+    name = free_name(name, docs.columns)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     schema = docs.select("*", F.lit(0.0).alias(name)).schema

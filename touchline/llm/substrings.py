@@ -138,12 +138,16 @@ def _heads(fresh: np.ndarray) -> np.ndarray:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(``id``, ``version``, ``body``): the version tells different texts under one id apart."""
+    """(``id``, ``version``, ``body``, ``nameless``): the version tells different texts under one id apart.
+
+    A NULL id counts as the largest one; ``nameless`` tells it from a document that has that id.
+    """
     body = F.coalesce("text", F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST_ID)).alias("id"),
         F.xxhash64(body).alias("version"),
         body.alias("body"),
+        F.col("doc_id").isNull().alias("nameless"),
     )
 
 
@@ -490,18 +494,18 @@ def without_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "body", STRETCH):
                 rows = []
-                for doc, body, spans in zip(*(c.to_pylist() for c in part.columns)):
+                for doc, body, nameless, spans in zip(*(c.to_pylist() for c in part.columns)):
                     data, runs, at, kept = body.encode(), _removed(spans), 0, []
                     for a, b in runs:
                         kept.append(data[at:a])
                         at = b
                     left = b"".join([*kept, data[at:]])
                     made = hashlib.sha256(left).hexdigest() if digests else left
-                    rows.append((None if doc == LAST_ID else doc, len(data), len(data) - len(left), len(runs), made))
+                    rows.append((None if nameless else doc, len(data), len(data) - len(left), len(runs), made))
                 kinds = [pa.int64()] * 4 + [pa.string() if digests else pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], ["doc_id", "n_bytes", "n_removed", "n_spans", name]
                 )
 
-    joined = keyed(docs).join(repeated_spans(docs), ["id", "version"], "left").select("id", "body", "spans")
+    joined = keyed(docs).join(repeated_spans(docs), ["id", "version"], "left").select("id", "body", "nameless", "spans")
     return joined.mapInArrow(run, f"doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, {name} {kind}")
