@@ -8,6 +8,7 @@ no join, no shuffle, and time linear in the page.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -38,6 +39,16 @@ NODE = T.StructType([
 ])
 
 
+# Tags as most pages write them: plain names, values in double quotes, no character references. All others, and
+# tags after which the text is read by other rules, take the parser's own way.
+PLAIN_START = re.compile(r'<([a-zA-Z][a-zA-Z0-9]*)((?: [a-zA-Z][-a-zA-Z0-9_]*="[^"<>&]*")*)>')
+PLAIN_ATTRIBUTE = re.compile(r' ([^=]+)="([^"]*)"')
+PLAIN_END = re.compile(r"</([a-zA-Z][a-zA-Z0-9]*)>")
+OTHER_TEXT_TAGS = frozenset(
+    ["script", "style", "textarea", "title", "iframe", "noembed", "noframes", "noscript", "xmp", "plaintext"]
+)
+
+
 class _Nodes(HTMLParser):
     """Collects the nodes of one page after another as columns, in document order.
 
@@ -58,8 +69,25 @@ class _Nodes(HTMLParser):
         self.attr_names: list[str] = []
         self.attr_values: list[str] = []
         self.open: list[int] = []
+        self.raw_open = self.blank_open = 0  # open tags of RAW_TEXT_TAGS and BLANK_KEEPING_TAGS
         self.pending: list[str] = []
 
+    def parse_starttag(self, i: int) -> int:
+        m = PLAIN_START.match(self.rawdata, i)
+        tag = m[1].lower() if m else ""
+        if not m or tag in OTHER_TEXT_TAGS:
+            return super().parse_starttag(i)
+        self.lasttag = tag
+        self.handle_starttag(tag, [(name.lower(), value) for name, value in PLAIN_ATTRIBUTE.findall(m[2])] if m[2] else [])
+        return m.end()
+
+    def parse_endtag(self, i: int) -> int:
+        m = PLAIN_END.match(self.rawdata, i) if self.cdata_elem is None else None
+        if not m:
+            return super().parse_endtag(i)
+        self.handle_endtag(m[1].lower())
+        return m.end()
+
     def _add(self, tag: str, text: str | None, attrs: dict[str, str]) -> int:
         pos = len(self.pos) - self.offsets[-1]
         self.pos.append(pos)
@@ -75,30 +103,31 @@ class _Nodes(HTMLParser):
         self.attr_offsets.append(len(self.attr_names))
         return pos
 
-    def _inside(self, tags: frozenset[str]) -> bool:
-        start = self.offsets[-1]
-        return any(self.tag[start + pos] in tags for pos in self.open)
-
     def flush(self) -> None:
         if not self.pending:
             return
         text = "".join(self.pending)
         self.pending.clear()
-        if not text.strip() and not self._inside(BLANK_KEEPING_TAGS):
+        if not self.blank_open and not text.strip():
             text = "\n" if "\n" in text else " "
-        self._add("#raw" if self._inside(RAW_TEXT_TAGS) else "#text", text, {})
+        self._add("#raw" if self.raw_open else "#text", text, {})
 
     def _close_to(self, depth: int) -> None:
         start = self.offsets[-1]
         last = len(self.pos) - start - 1
         while len(self.open) > depth:
-            self.end_pos[start + self.open.pop()] = last
+            place = start + self.open.pop()
+            self.end_pos[place] = last
+            self.raw_open -= self.tag[place] in RAW_TEXT_TAGS
+            self.blank_open -= self.tag[place] in BLANK_KEEPING_TAGS
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.flush()
         pos = self._add(tag, None, {name: value or "" for name, value in attrs})
         if tag not in VOID_TAGS:
             self.open.append(pos)
+            self.raw_open += tag in RAW_TEXT_TAGS
+            self.blank_open += tag in BLANK_KEEPING_TAGS
 
     def handle_endtag(self, tag: str) -> None:
         self.flush()
@@ -231,8 +260,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def inside(nodes: Column, node: Column) -> Column:
-    """What lies inside a node, without the node itself. ``nodes`` must be all nodes of the page."""
-    return let(node, lambda n: F.slice(nodes, n["pos"] + 2, n["end_pos"] - n["pos"]))
+    """What lies inside a node, without the node itself. ``nodes`` must be all nodes of the page.
+
+    The nodes are taken by their places: a slice would go through the whole page each time.
+    """
+    places = lambda n: F.when(n["end_pos"] > n["pos"], F.sequence(n["pos"] + 1, n["end_pos"])).otherwise(
+        F.array().cast("array<int>")
+    )
+    return let(node, lambda n: F.transform(places(n), lambda pos: F.get(nodes, pos)))
 
 
 def children(nodes: Column, node: Column, tag: str) -> Column:
