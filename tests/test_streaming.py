@@ -6,7 +6,8 @@ from tests.test_pages import SUMMARY, stat_row
 from touchline import schemas
 from touchline.plans.collect import collect_matches, match_table
 from touchline.operators.status import log_rows
-from touchline.streaming import ingest
+from touchline.plans import retry as plan
+from touchline.streaming import ingest, retry
 
 
 def test_lists_are_taken_in_once_and_archived(spark, tmp_path):
@@ -78,3 +79,59 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
         ingest.write_batch(rows, str(tmp_path / "t"), 0)
     ingest.write_batch(rows, str(tmp_path / "t"), 1)
     assert spark.read.parquet(str(tmp_path / "t")).count() == 6
+
+
+LOG = "line_no bigint, file_name string, url string, reason string, non_empty_fields string"
+
+
+def log_lot(spark, path, rows):
+    spark.createDataFrame(rows, LOG).repartition(2).write.mode("append").parquet(path)
+
+
+def test_the_first_log_row_of_a_url_counts_over_batches(spark, tmp_path):
+    arriving, state, out = (str(tmp_path / n) for n in ("in", "state", "out"))
+
+    def run(rows, memory_ms=retry.DAY_MS):
+        log_lot(spark, arriving, rows)
+        logs = ingest.stream_table(spark, arriving, spark.createDataFrame([], LOG).schema)
+        found = retry.first_candidates(logs, memory_ms)
+        ingest.per_batch(found, lambda batch, n: ingest.write_batch(batch, out, n), state).awaitTermination()
+        return sorted(map(str, (tuple(r)[:4] for r in spark.read.parquet(out).collect())))
+
+    row = lambda *values: str(values)
+    lot = [
+        (7, "a_scrape_log.csv", "u1", "none", "9"),
+        (3, "a_scrape_log.csv", " u1 ", "no_stats", "5"),
+        (1, "a_scrape_log.csv", "u1", "none", "99"),  # asks for no retry
+        (4, "b_scrape_log.csv", "u1", "none", "4"),
+        (None, "b_scrape_log.csv", "u2", "none", "7"),
+        (2, "b_scrape_log.csv", "u2", "none", "8"),
+        (5, None, None, "no_lineups", None),
+    ]
+    first = [row("a", "u1", "no_stats", "5"), row("b", "u1", "low_fields", "4"), row("b", "u2", "low_fields", "7"), row(None, None, "no_lineups", None)]
+    assert run(lot) == sorted(first)
+    later = run([(8, "a_scrape_log.csv", "u1", "none", "1"), (9, "a_scrape_log.csv", "u3", "none", "2")])
+    assert later == sorted([*first, row("a", "u3", "low_fields", "2")])
+    again = run([(10, "a_scrape_log.csv", "u1", "none", "3")], memory_ms=1)  # tried longer ago than that
+    assert again == sorted([*first, row("a", "u3", "low_fields", "2"), row("a", "u1", "low_fields", "3")])
+
+
+def test_write_back_leaves_other_stems_alone(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    rows = [(s, n, str(n % 3), f"v{n}", "x") for s in ("a", "b", "c") for n in range(9)] + [("a", 9, None, "no id", "x"), ("a", 10, "", "blank", "x")]
+    base = spark.createDataFrame(rows, "stem string, line int, match_id string, v string, w string")
+    base.write.partitionBy("stem").parquet(path)
+    files = lambda: {str(p.relative_to(tmp_path)): p.read_bytes() for p in tmp_path.rglob("*.parquet")}
+    before = files()
+    patches = spark.createDataFrame(
+        [("a", "1", "new"), ("b", "7", "id not there"), ("d", "1", "no such stem"), (None, "1", "no stem"), ("a", "", "blank id")],
+        "stem string, match_id string, v string",
+    )
+    assert plan.write_back(spark, path, base.schema, patches, "line", ["v", "w"]) == ["a"]
+    after = files()
+    assert {f for f in before if "stem=a" not in f} == {f for f in after if "stem=a" not in f}
+    assert all(after[f] == data for f, data in before.items() if "stem=a" not in f)
+    expected = {(s, n, i, "new" if (s, n) == ("a", 1) else v, "" if (s, n) == ("a", 1) else w) for s, n, i, v, w in rows}
+    assert {tuple(r) for r in spark.read.schema(base.schema).parquet(path).select(base.columns).collect()} == expected
+    assert plan.write_back(spark, path, base.schema, patches.where("stem = 'd'"), "line", ["v", "w"]) == []
+    assert files() == after

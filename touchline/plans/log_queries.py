@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.operators import logs, retry, status
 from touchline.plans import retry as retry_plan
 from touchline.plans.registry import query, table
+from touchline.session import new_folder, written
 
 # Events as log rows: the type gives the reason, the value the field count, the user the URL.
 EVENT_LOG_SQL = """
@@ -227,8 +228,8 @@ RETRY_JOB_LOG_SQL = f"""
 """
 
 
-def retry_job(spark: SparkSession, sf_dir: str, fetched: Column) -> tuple[DataFrame, DataFrame]:
-    """Retry candidates of two logs with their new extraction, and the rows of the two data files."""
+def retry_tables(spark: SparkSession, sf_dir: str, fetched: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows of two logs, the new extraction, and the rows of the two data files."""
     stem = F.when(F.col("line_no") % 2 == 0, "a").otherwise("b")
     address = lambda number: F.concat(F.lit("https://us.example.com/game/x/?mid="), number)
     log = event_log(spark, sf_dir).withColumn("file_name", F.concat(stem, F.lit("_scrape_log.csv")))
@@ -239,27 +240,34 @@ def retry_job(spark: SparkSession, sf_dir: str, fetched: Column) -> tuple[DataFr
         (F.col("c_nationkey") * 2 + 20).alias("non_empty_fields"),
         F.lit("").alias("match_id"),
         F.col("c_name").alias("stadium"),
+        F.lit("").alias("scraped_at"),
     )
-    tried = retry_plan.retried(log, collected).withColumn("scraped_at", F.lit(""))
     base = base_rows(spark, sf_dir).select("match_id", "line_no", stem.alias("stem"), F.col("event_type").alias("stadium"))
     absent = [c for c in retry_plan.MATCH_COLUMNS if c not in base.columns]
-    return tried, base.select("*", *[F.lit("").alias(c) for c in absent])
+    return log, collected, base.select("*", *[F.lit("").alias(c) for c in absent])
 
 
-@query("job_retry_log", RETRY_JOB_LOG_SQL)
-def job_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log of the retry job: a row for each candidate, also for those without a page; only one data file is there."""
-    tried, base = retry_job(spark, sf_dir, F.col("c_custkey") % 3 != 0)
-    rows = retry_plan.retry_log_rows(base, tried, spark.createDataFrame([("a",)], "stem string"))
+def retry_job(spark: SparkSession, sf_dir: str, fetched: Column) -> tuple[DataFrame, DataFrame]:
+    """Retry candidates of the logs with their new extraction, and the rows of the data files."""
+    log, collected, base = retry_tables(spark, sf_dir, fetched)
+    return retry_plan.retried(log, collected), base
+
+
+def retry_log_digest(rows: DataFrame) -> DataFrame:
     return rows.select(
         "file_name", F.regexp_extract("url", "mid=(.*)$", 1).alias("match_id"), "success", "reason", "fields_before",
         "fields_after", "data_csv_found", "row_updated",
     )
 
 
-@query(
-    "job_retry",
-    f"""
+@query("job_retry_log", RETRY_JOB_LOG_SQL)
+def job_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the retry job: a row for each candidate, also for those without a page; only one data file is there."""
+    tried, base = retry_job(spark, sf_dir, F.col("c_custkey") % 3 != 0)
+    return retry_log_digest(retry_plan.retry_log_rows(base, tried, spark.createDataFrame([("a",)], "stem string")))
+
+
+RETRY_JOB_SQL = f"""
     WITH l AS (SELECT *, CASE WHEN line_no % 2 = 0 THEN 'a' ELSE 'b' END AS stem FROM ({EVENT_LOG_SQL}) AS e),
     q AS (
         SELECT *, row_number() OVER (PARTITION BY stem, url ORDER BY line_no) AS n FROM l
@@ -279,14 +287,54 @@ def job_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT b.line_no, b.stem, b.match_id, coalesce(patch.c_name, b.event_type) AS stadium, patch.c_name IS NOT NULL AS patched
     FROM b LEFT JOIN first ON first.line_no = b.line_no
     LEFT JOIN patch ON patch.stem = first.stem AND patch.match_id = first.match_id
-    """,
-)
+"""
+
+
+@query("job_retry", RETRY_JOB_SQL)
 def job_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The retry job over the logs of two data files that hold the same ids; each log patches its own file."""
     tried, base = retry_job(spark, sf_dir, F.lit(True))
     return retry_plan.patched_table(base, tried, "line_no").select("line_no", "stem", "match_id", "stadium", "patched")
 
 
+@query(
+    "table_write_back",
+    f"""
+    WITH q AS (SELECT *, CASE patch_no % 3 WHEN 0 THEN 's3' WHEN 1 THEN 's7' ELSE 's99' END AS stem FROM ({QUALIFYING_SQL}) AS c),
+    one AS (
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY stem, match_id ORDER BY patch_no DESC) AS n FROM q) WHERE n = 1
+    ),
+    b AS (
+        SELECT 's' || event_id % 20 AS stem, event_id AS line_no, CAST(user_id AS VARCHAR) AS match_id, event_type, props,
+               row_number() OVER (PARTITION BY event_id % 20, user_id ORDER BY event_id) AS n
+        FROM events
+    ),
+    hit AS (SELECT DISTINCT b.stem FROM b JOIN one ON one.stem = b.stem AND one.match_id = b.match_id)
+    SELECT b.stem, b.line_no, b.match_id, coalesce(one.event_type, b.event_type) AS event_type,
+           CASE WHEN one.match_id IS NULL THEN b.props ELSE one.value END AS value,
+           CASE WHEN one.match_id IS NULL THEN b.event_type ELSE '' END AS props,
+           b.stem IN (SELECT stem FROM hit) AS written_anew
+    FROM b LEFT JOIN one ON one.stem = b.stem AND one.match_id = b.match_id AND b.n = 1
+    """,
+)
+def table_write_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table of twenty stems after patches to two of them; whether a row's file is one that was not there before."""
+    path = new_folder(spark, "stored")
+    stem = F.concat(F.lit("s"), (F.col("line_no") % 20).cast("string"))
+    base = base_rows(spark, sf_dir).withColumn("stem", stem)
+    base.write.partitionBy("stem").parquet(path)
+    files = lambda: spark.read.schema(base.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("file"))
+    before = written(files().select("file").distinct(), "files")
+    third = F.col("patch_no") % 3
+    named = qualifying(patch_candidates(spark, sf_dir)).withColumn(
+        "stem", F.when(third == 0, "s3").when(third == 1, "s7").otherwise("s99")
+    )
+    patches = retry.patches_to_apply(named, ["stem", "match_id"], [F.col("patch_no")])
+    retry_plan.write_back(spark, path, base.schema, patches, "line_no", PATCH_COLUMNS)
+    after = files().join(before.withColumn("old", F.lit(True)), "file", "left")
+    return after.select("stem", "line_no", "match_id", "event_type", "value", "props", F.col("old").isNull().alias("written_anew"))
+
+
 @query(
     "agg_count_rollup",
     """

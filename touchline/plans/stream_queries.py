@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.plans import log_queries
+from touchline.plans import retry as retry_plan
 from touchline.plans.registry import query, table
 from touchline.session import new_folder
-from touchline.streaming import ingest, patch, waiting
+from touchline.streaming import ingest, patch, retry, waiting
 
 
 @query(
@@ -53,6 +54,44 @@ def stream_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LOTS = 3
+
+
+def streamed_retry(spark: SparkSession, sf_dir: str, fetched: Column) -> tuple[str, DataFrame, str]:
+    """Log rows arrive in lots: the folder of patches, the base rows and the folder of retry log rows.
+
+    A URL may ask for a retry in each lot; the first row of all counts, as in the batch job.
+    """
+    log, collected, base = log_queries.retry_tables(spark, sf_dir, fetched)
+    arriving, patches, retry_log, checkpoint = (new_folder(spark, n) for n in ("arriving", "patches", "retry-log", "state"))
+    last = log.agg(F.max("line_no")).first()[0] or 0
+    lot = F.floor(F.col("line_no") * LOTS / (last + 1))
+    stems = spark.createDataFrame([("a",)], "stem string")
+    for number in range(LOTS):
+        log.where(lot == number).write.mode("append").parquet(arriving)
+        rows = ingest.stream_table(spark, arriving, log.schema)
+        retry.retry_stream(rows, collected, base, stems, patches, retry_log, checkpoint).awaitTermination()
+    return patches, base, retry_log
+
+
+@query("stream_retry", log_queries.RETRY_JOB_SQL)
+def stream_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The match table under the patches of log rows that arrive in several lots; equal to the batch job."""
+    patches, base, _ = streamed_retry(spark, sf_dir, F.lit(True))
+    saved = spark.read.parquet(patches)
+    rows = patch.patched_view(
+        spark, base, patches, saved.schema, retry_plan.KEYS, "line_no", retry_plan.MATCH_COLUMNS, [F.col("scraped_at"), F.col("url")]
+    )
+    return rows.select("line_no", "stem", "match_id", "stadium", "patched")
+
+
+@query("stream_retry_log", log_queries.RETRY_JOB_LOG_SQL)
+def stream_retry_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The retry log of the same stream where some candidates have no page."""
+    _, _, retry_log = streamed_retry(spark, sf_dir, F.col("c_custkey") % 3 != 0)
+    return log_queries.retry_log_digest(spark.read.parquet(retry_log))
+
+
 @query(
     "stream_collect",
     """
