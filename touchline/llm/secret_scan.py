@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.text import SLICE_BYTES, free_name, run_keys, slices, text_bytes
+from touchline.llm.text import free_name, run_keys, slices, text_bytes
 from touchline.session import written
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -258,6 +258,9 @@ def part_keys(value: str) -> dict[str, int]:
     return dict(zip(found, keys.tolist()))
 
 
+# Texts are counted in slices of so many bytes, and so many words are held before they are added up or given out.
+WORD_SLICE, HELD_WORDS = 1 << 18, 1 << 18
+
 LETTERS = np.zeros(256, np.uint8)
 LETTERS[97:123] = LETTERS[65:91] = np.arange(97, 123)
 
@@ -274,32 +277,46 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     fits = (ends - begins >= SHORTEST) & (ends - begins <= LONGEST)
     begins, ends = begins[fits], ends[fits]
     keys = []
-    for at in range(0, len(low), SLICE_BYTES):  # words that begin in a range; powers of the hash base are kept for its length
-        i, j = np.searchsorted(begins, (at, at + SLICE_BYTES))
+    for at in range(0, len(low), WORD_SLICE):  # words that begin in a range; powers of the hash base are kept for its length
+        i, j = np.searchsorted(begins, (at, at + WORD_SLICE))
         if j > i:
-            piece = low[at : at + SLICE_BYTES + LONGEST]
+            piece = low[at : at + WORD_SLICE + LONGEST]
             keys.append(run_keys(piece, begins[i:j] - at, ends[i:j] - at))
     return np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
 
 
-HELD_WORDS = 1 << 20
+def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    key, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(key, n): how often each word occurs in all texts, added up within tasks first."""
+    """(key, n): how often each word occurs in all texts, added up within tasks first.
+
+    A task holds the words of ``HELD_WORDS`` places and gives what it has when as many differ, so its memory is
+    bounded; the groups that follow add up what several parts gave.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        out = lambda: pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+        keys, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(keys[0]), pa.array(counts[0])], ["key", "n"])
         for batch in batches:
-            for part in slices(batch):
-                new, n = np.unique(letter_words(*text_bytes(part.column("text"))), return_counts=True)
-                both = np.concatenate([keys, new])
-                keys, place = np.unique(both, return_inverse=True)
-                counts = np.bincount(place, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-                if len(keys) >= HELD_WORDS:
+            for part in slices(batch, limit=WORD_SLICE):
+                new = letter_words(*text_bytes(part.column("text")))
+                keys.append(new)
+                counts.append(np.ones(len(new), np.int64))
+                held += len(new)
+                if held < HELD_WORDS:
+                    continue
+                (keys[:], counts[:]), held = [[a] for a in _added(keys, counts)], 0
+                if len(keys[0]) >= HELD_WORDS:
                     yield out()
-                    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        keys[:], counts[:] = [[a] for a in _added(keys, counts)]
         yield out()
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "key bigint, n bigint")
