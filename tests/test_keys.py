@@ -49,8 +49,24 @@ def test_running_total(table, rows, width):
         assert r["t"] == sum(v for k, n, v in rows if k == r["k"] and n <= r["n"])
 
 
+def test_rows_of_a_running_total_are_shuffled_once(spark, table, tmp_path):
+    table.write.parquet(str(tmp_path / "t"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        totals = running_total(spark.read.parquet(str(tmp_path / "t")), ["k"], [F.col("n")], F.col("v"), "t", F.floor(F.col("n") / 37))
+        plan = totals._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    rows = [line for line in plan.splitlines() if line.strip().startswith(":")]  # the left side of the join
+    assert "SortMergeJoin" in plan and sum("Exchange" in line for line in rows) == 1
+    assert plan.count("Exchange hashpartitioning") == 4  # the other three move sums of bands
+
+
 def test_rows_without_a_key_stay(spark):
     rows = spark.createDataFrame([(None, 1, Decimal(2)), (None, 2, Decimal(3)), ("a", 1, Decimal(5))], "k string, n int, v decimal(18,2)")
+    nowhere = running_total(rows, ["k"], [F.col("n")], F.col("v"), "t", F.when(F.col("n") > 1, F.col("n"))).collect()
+    assert {(r["k"], r["n"]): r["t"] for r in nowhere} == {(None, 1): 2, (None, 2): 5, ("a", 1): 5}
     totals = running_total(rows, ["k"], [F.col("n")], F.col("v"), "t", F.lit(0)).collect()
     assert {(r["k"], r["n"]): r["t"] for r in totals} == {(None, 1): 2, (None, 2): 5, ("a", 1): 5}
     overall = logs.elapsed_overall(rows, "k", [F.col("n")], F.col("v"), F.lit(0), "t").collect()

@@ -61,22 +61,24 @@ def running_total(
     summed within (key, band); the total of earlier bands, one row per band, is added. A task
     never holds more than one band of a key. ``offsets`` (the keys and ``offset``) holds a start for
     each key; it joins the band sums, not the rows.
+
+    Rows are shuffled once: the window and the join of the starts go by the same struct of key and band, in
+    which NULLs are equal, so the join finds them where the window has left them.
     """
-    banded = df.withColumn("_band", band).withColumn("_value", value)
-    within = Window.partitionBy(*keys, "_band").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    banded = df.select("*", F.struct(*[F.col(k) for k in keys], band.alias("_band")).alias("_at"), value.alias("_value"))
+    within = Window.partitionBy("_at").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("_sum").over(earlier), F.lit(0).cast("decimal(38,6)"))
     bands = (
-        banded.groupBy(*keys, "_band")
+        banded.groupBy("_at")
         .agg(F.sum("_value").cast("decimal(38,6)").alias("_sum"))
-        .select(*keys, "_band", start.alias("_start"))
+        .select("_at", "_at.*", "_sum")
+        .select("_at", *keys, start.alias("_start"))
     )
     if offsets is not None:
-        bands = join_on(bands, offsets, keys).select(
-            *keys, "_band", (F.col("_start") + F.col("offset")).cast("decimal(38,6)").alias("_start")
-        )
+        bands = join_on(bands, offsets, keys).withColumn("_start", (F.col("_start") + F.col("offset")).cast("decimal(38,6)"))
     rows = banded.withColumn("_within", F.sum("_value").over(within).cast("decimal(38,6)"))
-    return join_on(rows, bands, [*keys, "_band"]).select(
+    return rows.join(bands.select("_at", "_start"), "_at").select(
         *df.columns, (F.col("_start") + F.col("_within")).cast("decimal(38,6)").alias(name)
     )
 
