@@ -6,30 +6,121 @@ stored match, log and list files, so it is written out plainly and in order.
 
 # --- Fixed values: match table ------------------------------------------------
 
-IDENTITY_COLUMNS = [
-    "match_id", "league_division", "round", "date", "kickoff_time", "attendance",
-    "capacity", "stadium", "city", "home_team", "away_team",
+MATCH_COLUMNS = [
+    ("match_id", "string"),
+    ("league_division", "string"),
+    ("round", "string"),
+    ("date", "string"),
+    ("kickoff_time", "string"),
+    ("attendance", "int"),
+    ("capacity", "int"),
+    ("stadium", "string"),
+    ("city", "string"),
+    ("home_team", "string"),
+    ("away_team", "string"),
+    ("home_goals", "int"),
+    ("away_goals", "int"),
+    ("result", "string"),
+    ("home_formation", "string"),
+    ("away_formation", "string"),
+    ("home_team_rating", "decimal(3,1)"),
+    ("away_team_rating", "decimal(3,1)"),
+    ("home_shots_total", "int"),
+    ("away_shots_total", "int"),
+    ("home_shots_on_target", "int"),
+    ("away_shots_on_target", "int"),
+    ("home_shots_off_target", "int"),
+    ("away_shots_off_target", "int"),
+    ("home_shots_inside_box", "int"),
+    ("away_shots_inside_box", "int"),
+    ("home_shots_outside_box", "int"),
+    ("away_shots_outside_box", "int"),
+    ("home_headed_goals", "int"),
+    ("away_headed_goals", "int"),
+    ("home_hit_woodwork", "int"),
+    ("away_hit_woodwork", "int"),
+    ("home_corners", "int"),
+    ("away_corners", "int"),
+    ("home_free_kicks", "int"),
+    ("away_free_kicks", "int"),
+    ("home_throw_ins", "int"),
+    ("away_throw_ins", "int"),
+    ("home_fouls_committed", "int"),
+    ("away_fouls_committed", "int"),
+    ("home_offsides", "int"),
+    ("away_offsides", "int"),
+    ("home_yellow_cards", "int"),
+    ("away_yellow_cards", "int"),
+    ("home_red_cards", "int"),
+    ("away_red_cards", "int"),
+    ("home_goalkeeper_saves", "int"),
+    ("away_goalkeeper_saves", "int"),
+    ("home_possession_pct", "int"),
+    ("away_possession_pct", "int"),
+    ("home_touches_opp_box", "int"),
+    ("away_touches_opp_box", "int"),
+    ("home_passes_pct", "int"),
+    ("away_passes_pct", "int"),
+    ("home_passes_successful", "int"),
+    ("away_passes_successful", "int"),
+    ("home_passes_total", "int"),
+    ("away_passes_total", "int"),
+    ("home_long_passes_pct", "int"),
+    ("away_long_passes_pct", "int"),
+    ("home_long_passes_successful", "int"),
+    ("away_long_passes_successful", "int"),
+    ("home_long_passes_total", "int"),
+    ("away_long_passes_total", "int"),
+    ("home_passes_final_third_pct", "int"),
+    ("away_passes_final_third_pct", "int"),
+    ("home_passes_final_third_successful", "int"),
+    ("away_passes_final_third_successful", "int"),
+    ("home_passes_final_third_total", "int"),
+    ("away_passes_final_third_total", "int"),
+    ("home_crosses_pct", "int"),
+    ("away_crosses_pct", "int"),
+    ("home_crosses_successful", "int"),
+    ("away_crosses_successful", "int"),
+    ("home_crosses_total", "int"),
+    ("away_crosses_total", "int"),
+    ("home_big_chances", "int"),
+    ("away_big_chances", "int"),
+    ("home_duels_won", "int"),
+    ("away_duels_won", "int"),
+    ("home_errors_leading_to_shot", "int"),
+    ("away_errors_leading_to_shot", "int"),
+    ("home_errors_leading_to_goal", "int"),
+    ("away_errors_leading_to_goal", "int"),
+    ("home_accurate_through_passes", "int"),
+    ("away_accurate_through_passes", "int"),
+    ("home_tackles_pct", "int"),
+    ("away_tackles_pct", "int"),
+    ("home_tackles_successful", "int"),
+    ("away_tackles_successful", "int"),
+    ("home_tackles_total", "int"),
+    ("away_tackles_total", "int"),
+    ("home_shots_blocked", "int"),
+    ("away_shots_blocked", "int"),
+    ("home_clearances", "int"),
+    ("away_clearances", "int"),
+    ("home_interceptions", "int"),
+    ("away_interceptions", "int"),
+    ("home_xg", "decimal(6,2)"),
+    ("away_xg", "decimal(6,2)"),
+    ("home_xgot", "decimal(6,2)"),
+    ("away_xgot", "decimal(6,2)"),
+    ("home_xa", "decimal(6,2)"),
+    ("away_xa", "decimal(6,2)"),
+    ("home_xgot_faced", "decimal(6,2)"),
+    ("away_xgot_faced", "decimal(6,2)"),
+    ("home_goals_prevented", "decimal(6,2)"),
+    ("away_goals_prevented", "decimal(6,2)"),
 ]
-RESULT_COLUMNS = ["home_goals", "away_goals", "result"]
-
-# Each name stands for a home_ and an away_ column, in stored order.
-TACTICAL_PAIRS = ["formation", "team_rating"]
-COUNT_PAIRS_BEFORE_PASSING = [
-    "shots_total", "shots_on_target", "shots_off_target", "shots_inside_box",
-    "shots_outside_box", "headed_goals", "hit_woodwork",
-    "corners", "free_kicks", "throw_ins",
-    "fouls_committed", "offsides", "yellow_cards", "red_cards",
-    "goalkeeper_saves",
-    "possession_pct", "touches_opp_box",
+# Those that a summary page gives.
+SUMMARY_COLUMNS = [
+    "league_division", "round", "date", "kickoff_time", "attendance", "capacity", "stadium", "city",
+    "home_team", "away_team", "home_goals", "away_goals", "result",
 ]
-PASSING_STATS = ["passes", "long_passes", "passes_final_third", "crosses"]
-COUNT_PAIRS_AFTER_PASSING = [
-    "big_chances", "duels_won", "errors_leading_to_shot", "errors_leading_to_goal",
-    "accurate_through_passes",
-]
-TACKLING_STATS = ["tackles"]
-COUNT_PAIRS_AFTER_TACKLES = ["shots_blocked", "clearances", "interceptions"]
-EXPECTED_PAIRS = ["xg", "xgot", "xa", "xgot_faced", "goals_prevented"]
 
 # Parts of a "87% (541/623)" value, as column suffixes.
 PCT_COUNT_PARTS = ["pct", "successful", "total"]
@@ -169,6 +260,18 @@ ROUND_SEPARATORS = "-–·|"
 KNOCKOUT_STAGES = [
     "1/16-finals", "1/8-finals", "quarter-finals", "semi-finals", "third place", "final",
 ]
+# In a breadcrumb: a round with its number behind a separator, and a number at the end.
+NUMBERED_ROUND_PATTERN = rf"(?iU)[{ROUND_SEPARATORS}]\s*(?:{'|'.join(ROUND_WORDS)})\s*(\d+)"
+TRAILING_ROUND_PATTERN = r"(?U)\s+(\d+)$"
+STAGE_SEPARATOR_PATTERN = r"(?U)\s*-\s*"
+TITLE_TEAMS_PATTERN = r"(?iU)^(.+?)\s+v\s+(.+?)(?:\s+\d{2}/|\s*[-|]|\s*Lineups|\s*Stats)"
+SCORE_NUMBER_PATTERN = r"(?U)\b(\d+)\b"
+TITLE_SCORE_PATTERN = r"(?U)(\d+)\s*[:\-]\s*(\d+)"
+# Behind a label such as Attendance.
+LABELLED_NUMBER_PATTERN = r"[:\s]+(\d[\d\s,\.]*)"
+VENUE_PATTERN = r"(?iU)(?:Venue|Stadium)[:\s]+([^(\n]+)\s*\(([^)]+)\)"
+CLOCK_PATTERN = r"(?U)\d{1,2}:\d{2}"
+PAGE_CLOCK_PATTERN = r"(?U)\b(\d{1,2}:\d{2})\b"
 DATE_PATTERN = r"(\d{2}/\d{2}/\d{4}|[A-Za-z]+ \d{2}, \d{4})"
 DATE_FORMATS = ["MMMM dd, yyyy", "dd/MM/yyyy"]
 KICKOFF_TIME_PATTERN = r"^\s*(\d{1,2}):(\d{2})\s*([AaPp][Mm])?\s*$"

@@ -7,30 +7,6 @@ from pyspark.sql import types as T
 from touchline import fixed_values as fv
 
 
-def _pairs(names: list[str]) -> list[str]:
-    return [f"{side}_{name}" for name in names for side in ("home", "away")]
-
-
-def _parts(stats: list[str]) -> list[str]:
-    return [f"{stat}_{part}" for stat in stats for part in fv.PCT_COUNT_PARTS]
-
-
-def _match_fields() -> list[tuple[str, str]]:
-    fields = [(c, "int" if c in ("attendance", "capacity") else "string") for c in fv.IDENTITY_COLUMNS]
-    fields += [(c, "string" if c == "result" else "int") for c in fv.RESULT_COLUMNS]
-    fields += [(c, "decimal(3,1)" if c.endswith("rating") else "string") for c in _pairs(fv.TACTICAL_PAIRS)]
-    counts = (
-        fv.COUNT_PAIRS_BEFORE_PASSING
-        + _parts(fv.PASSING_STATS)
-        + fv.COUNT_PAIRS_AFTER_PASSING
-        + _parts(fv.TACKLING_STATS)
-        + fv.COUNT_PAIRS_AFTER_TACKLES
-    )
-    fields += [(c, "int") for c in _pairs(counts)]
-    fields += [(c, "decimal(6,2)") for c in _pairs(fv.EXPECTED_PAIRS)]
-    return fields
-
-
 _TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -51,7 +27,7 @@ def all_strings(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
 
-MATCH = _struct(_match_fields())
+MATCH = _struct(fv.MATCH_COLUMNS)
 LOG = _struct(fv.LOG_COLUMNS)
 RETRY_LOG = _struct(fv.LOG_COLUMNS + fv.RETRY_COLUMNS)
 LINKS = _struct([("url", "string")])
