@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.operators import elements as elements_module
+from touchline.operators import stats
 from touchline.operators.elements import elements
 from touchline.operators.lineups import parse_lineups
 from touchline.operators.links import archive_seasons, match_links, results_season
@@ -235,3 +237,34 @@ def test_collection_status_and_fields(spark):
     assert table.count() == 5 and match_table(collected, keep_empty=True).count() == 9
     first = table.where("match_id = 'M1'").first()
     assert (first["home_passes_total"], first["attendance"], first["home_corners"]) == (623, 60201, None)
+
+
+def test_plain_pages_are_read_at_once_as_the_parser_reads_them():
+    row = stat_row("1", "Corners", "2")
+    plain = ["<p>a<br>b</p>", f"<title>x &amp; y</title>{row}", "<div>\n <b class='x'>q</b></div>", "<!-- c -->t<!doctype html>u",
+             "<script>if (a<b) '<i>c</i>'</script>&lt;<style></style>"]
+    others = ["<p>a<p>b", "<b><i>x</b></i>", "a < b", "<title><b>x</b></title>", "<pre> \n </pre>", "<br/>", "<script src=\"x\">a</script>", "</p>", None, ""]
+    tags = elements_module._PlainTags()
+    parser = elements_module._Nodes()
+    for page in plain + others:
+        parser.add_page(page)
+    assert elements_module._nodes_of(tags, plain + others).to_pylist() == parser.to_array().to_pylist()
+    read = [tags.pieces(page) is not None for page in plain]
+    assert read == [True, True, False, True, True]  # the third has single quotes
+
+
+def test_rows_of_pages_in_one_batch_stay_apart():
+    table = "<table><tr><td>1</td><td>Fouls</td><td>2</td></tr></table>"
+    pages = [stat_row("1", "Corners", "2"), None, f"<div class='statRow'>3<b>Fouls</b>4</div>{table}", "<p>5</p>", "<p>Fouls</p><p>6</p>",
+             "<p>7</p><p>xG\n8</p>", "<div class='stat-row'>1<b>A</b>2<div class='statRow'>x</div></div>"]
+    usual, others = stats._found_rows(elements_module._nodes_of(elements_module._PlainTags(), pages))
+    found = [[tuple(r.values()) for r in a + b] for a, b in zip(usual.to_pylist(), others.to_pylist())]
+    assert found == [
+        [(1, 0, "1", "Corners", "2"), (4, 0, "1", "Corners", "2")],
+        [],
+        [(2, 0, "3", "Fouls", "4"), (3, 0, "1", "Fouls", "2"), (4, 0, "3", "Fouls", "4"), (4, 1, "1", "Fouls", "2")],
+        [],
+        [],
+        [(4, 0, "7", "xG", "8")],
+        [(4, 0, "1", "A", "2")],
+    ]
