@@ -7,7 +7,7 @@ from touchline import schemas
 from touchline.plans.collect import collect_matches, match_table
 from touchline.operators.status import log_rows
 from touchline.plans import retry as plan
-from touchline.streaming import ingest, retry
+from touchline.streaming import ingest, retry, waiting
 
 
 def test_lists_are_taken_in_once_and_archived(spark, tmp_path):
@@ -135,3 +135,32 @@ def test_write_back_leaves_other_stems_alone(spark, tmp_path):
     assert {tuple(r) for r in spark.read.schema(base.schema).parquet(path).select(base.columns).collect()} == expected
     assert plan.write_back(spark, path, base.schema, patches.where("stem = 'd'"), "line", ["v", "w"]) == []
     assert files() == after
+
+
+def test_urls_wait_without_python_for_each_of_them(spark, tmp_path):
+    lists, pages, state, out = (str(tmp_path / n) for n in ("lists", "pages", "state", "out"))
+    found = []
+
+    def step(batch, batch_id):
+        touched = batch.persist()
+        ready = {r["url"] for r in touched.where("ready").collect()}
+        found.append((ready, *({r["url"] for r in part.collect()} for part in waiting.waiting_and_late(touched, out, batch_id))))
+
+    def run(listed, arrived, patience_ms):
+        for path, urls in ((lists, listed), (pages, arrived)):
+            spark.createDataFrame([(u,) for u in urls], "url string").write.mode("append").parquet(path)
+        schema = spark.createDataFrame([], "url string").schema
+        streams = [ingest.stream_table(spark, path, schema) for path in (lists, pages)]
+        rows = waiting.waiting(*streams, patience_ms)
+        assert "InPandasWithState" not in rows._jdf.queryExecution().analyzed().toString()
+        ingest.per_batch(rows, step, state, "update").awaitTermination()
+        return found[-1]
+
+    hour = 3_600_000
+    assert run(["a", "a", "b", "c"], ["a", "x"], hour) == ({"a"}, {"b", "c"}, set())
+    assert run(["d", "a", "x"], ["b", "a"], 1) == ({"b", "x"}, {"c", "d"}, set())
+    assert run(["c"], [None], 1) == (set(), {"c"}, {"d"})  # c waits anew, and not for long
+    assert run(["d", "e"], [], hour) == (set(), {"e"}, {"c"})  # late only once
+    assert run(["c"], ["d", "c"], hour) == ({"c", "d"}, {"e"}, set())
+    assert run(["a"], ["c", "x"], hour) == (set(), {"e"}, set())
+    assert len(found) == 6

@@ -61,10 +61,13 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def per_batch(rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+def per_batch(
+    rows: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, output_mode: str = "append"
+) -> StreamingQuery:
     """Run ``step`` on each micro-batch of what is there now, then stop."""
     return (
         rows.writeStream.foreachBatch(step)
+        .outputMode(output_mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
