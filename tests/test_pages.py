@@ -14,7 +14,9 @@ from touchline.operators.links import archive_seasons, match_links, results_seas
 from touchline.operators.reshape import kept_pairs, long_to_wide
 from touchline.operators.stats import parse_stats, stat_rows
 from touchline.operators.summary import parse_summary
+from touchline.plans import page_queries
 from touchline.plans.collect import collect_matches, match_table
+from touchline.plans.links import match_lists
 
 
 @pytest.fixture(scope="module")
@@ -268,3 +270,31 @@ def test_rows_of_pages_in_one_batch_stay_apart():
         [(4, 0, "7", "xG", "8")],
         [(4, 0, "1", "A", "2")],
     ]
+
+
+def test_a_listing_page_may_come_in_parts(spark):
+    leagues = spark.createDataFrame(
+        [("k", "p_", None, "https://us.site.com/k/results/")], "key string, prefix string, archive_url string, results_url string"
+    )
+    row = lambda n: f'<div class="event__match"><a href="/game/a/b/?mid={n}">x</a></div>'
+    texts = [(0, f"<p>Season 2019/2020</p>{row(1)}"), (1, row(2) + row(1)), (2, f"<p>2001/2002</p>{row(3)}")]
+    pages = spark.createDataFrame([("https://us.site.com/k/results/", n, t) for n, t in texts], "url string, part int, html string")
+    as_of = F.lit("2025-09-01").cast("date")
+    found = match_lists(leagues, pages, "us.site.com", "site.com", as_of)
+    whole = spark.createDataFrame([("https://us.site.com/k/results/", "".join(t for _, t in texts))], "url string, html string")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, match_lists(leagues, whole, "us.site.com", "site.com", as_of).collect()))
+    assert found.count() == 3 and "2019" in found.first()["stem"]
+
+
+def test_listing_pages_of_the_query_are_bounded(spark, tmp_path, monkeypatch):
+    keys = spark.range(1, 20_000).select(F.col("id").alias("o_orderkey"))
+    keys.write.parquet(str(tmp_path / "orders.parquet"))
+    sizes = []
+
+    def seen(catalog, pages, *rest):
+        sizes.append(pages.agg(F.max(F.length("html"))).first()[0])
+        return match_lists(catalog, pages, *rest)
+
+    monkeypatch.setattr(page_queries, "match_lists", seen)
+    assert page_queries.job_links(spark, str(tmp_path)).count() > 10_000
+    assert sizes[0] < 60 * 300

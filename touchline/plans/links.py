@@ -15,10 +15,12 @@ def match_lists(
 ) -> DataFrame:
     """(``stem``, ``url``): the match links of every season page of the catalog, once per list.
 
-    ``pages`` holds url and html of archive and results pages. A season whose page is absent has no
+    ``pages`` holds url and html of archive and results pages. A long page may come in several rows, with a number
+    ``part`` from 0; the first part tells the seasons, and each part's links count. A season whose page is absent has no
     links. The result is what ``write_links`` sorts and writes.
     """
-    seasons = season_pages(catalog, pages, host, as_of, previous).select(
+    heads = pages.where(F.col("part") == 0).drop("part") if "part" in pages.columns else pages
+    seasons = season_pages(catalog, heads, host, as_of, previous).select(
         list_stem(F.col("file_name")).alias("stem"), F.col("url").alias("page_url")
     )
     listed = pages.select(F.col("url").alias("page_url"), "html").join(seasons, "page_url").select("stem", "html")
