@@ -298,3 +298,20 @@ def test_listing_pages_of_the_query_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(page_queries, "match_lists", seen)
     assert page_queries.job_links(spark, str(tmp_path)).count() > 10_000
     assert sizes[0] < 60 * 300
+
+
+def test_tags_of_links_are_not_kept_for_ever(monkeypatch):
+    made = []
+
+    class Seen(elements_module._PlainTags):
+        def __init__(self):
+            made.append(self)
+            super().__init__()
+
+    monkeypatch.setattr(elements_module, "_PlainTags", Seen)
+    page = lambda n: "".join(f'<a href="/{n}/{i}">x</a>' for i in range(20_000))
+    pages = [page(n) for n in range(4)]
+    batch = elements_module.pa.RecordBatch.from_pydict({"n": list(range(4)), "html": pages})
+    out = [b for b in elements_module._tokenise(iter([batch]))]
+    assert [len(nodes) for b in out for nodes in b.column(1)] == [40_000] * 4
+    assert max(len(tags.kind) for tags in made) <= 41_000
