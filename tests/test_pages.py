@@ -118,6 +118,32 @@ def test_summary_fallbacks(parse):
     assert all(empty[c] == "" for c in ("league_division", "date", "stadium", "home_team", "home_goals", "result"))
 
 
+def test_summary_pages_in_one_batch_stay_apart(parse, spark):
+    label = lambda text: f'<div><div class="wcl-infoLabelWrapper_x">{text}</div></div>'
+    value = lambda text, name="wcl-infoValue_z": f'<div class="{name}"><b><span>no</span></b><span>{text}</span></div>'
+    information = lambda *parts: f'<div data-testid="wcl-summaryMatchInformation">{"".join(parts)}</div>'
+    pages = [
+        SUMMARY,
+        None,
+        information(label("Referee"), value("R"), label("Venue")) + information(value("x"), value("y")),
+        information(label("Venue"), value("a", "x wcl-infoValue_z"), label("Venue"), value("One"), label("Venue"), value("Two")),
+        '<div class="home-team"><b class="team-name"> </b></div><p class="HomeTeam"><p class="name">H</p></p><div class="kickoff">8:00</div>',
+        '<div class="kickoff">7:00, May 05, 2024</div><div class="match-time">late</div><div class="scoreBox">1 - 2</div>',
+    ]
+    rows = parse(lambda df: parse_summary(df.coalesce(1)), *pages)
+    found = [(r["stadium"], r["home_team"], r["kickoff_time"], r["date"], r["home_goals"]) for r in rows]
+    assert found == [
+        ("Big Arena", "Arsenal FC", "02:30 PM", "January 09, 2025", "5"),
+        ("", "", "", "", ""),
+        ("", "", "", "", ""),
+        ("One", "", "", "", ""),
+        ("", "H", "8:00", "", ""),
+        ("", "", "7:00", "May 05, 2024", "1"),
+    ]
+    plan = parse_summary(spark.createDataFrame([(SUMMARY,)], "html string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan.lower()  # rules on nodes work on batches of pages
+
+
 def stat_row(home, label, away):
     return (
         f'<div class="wcl-category_1"><div class="wcl-value wcl-homeValue_1">{home}</div>'
