@@ -116,6 +116,50 @@ def test_the_first_log_row_of_a_url_counts_over_batches(spark, tmp_path):
     assert again == sorted([*first, row("a", "u3", "low_fields", "2"), row("a", "u1", "low_fields", "3")])
 
 
+def test_the_retry_stream_remembers_urls_without_python_for_each_of_them(spark, tmp_path, monkeypatch):
+    arriving, state, patches, log = (str(tmp_path / n) for n in ("in", "state", "patches", "log"))
+    address = lambda n: f"https://us.site.com/game/x/?mid={n}"
+    collected = spark.createDataFrame(
+        [(address(n), "", 50, "", "", "new") for n in (1, 2, 3)],
+        "url string, status string, non_empty_fields int, match_id string, scraped_at string, stadium string",
+    )
+    base = spark.createDataFrame([("a", str(n)) for n in (1, 2)], "stem string, match_id string")
+    stems = spark.createDataFrame([("a",)], "stem string")
+    streams = []
+
+    def per_batch(rows, step, checkpoint):
+        streams.append(rows._jdf.queryExecution().analyzed().toString())
+        return ingest.per_batch(rows, lambda batch, n: (step(batch, n), step(batch, n)), checkpoint)  # each batch comes twice
+
+    monkeypatch.setattr(retry, "per_batch", per_batch)
+
+    def run(rows, memory_ms=retry.DAY_MS):
+        log_lot(spark, arriving, rows)
+        logs = ingest.stream_table(spark, arriving, spark.createDataFrame([], LOG).schema)
+        retry.retry_stream(logs, collected, base, stems, patches, log, state, memory_ms).awaitTermination()
+        rows = spark.read.parquet(log).select("file_name", F.regexp_extract("url", "mid=(.*)$", 1).alias("mid"), "fields_before", "row_updated")
+        return sorted(map(str, map(tuple, rows.collect())))
+
+    row = lambda *values: str(values)
+    name = lambda stem: f"{stem}_match_data.csv"
+    first = [row(name("a"), "1", 5, True), row(name("b"), "1", 4, False), row(name("b"), "2", 7, False), row(None, None, None, False)]
+    got = run([
+        (7, "a_scrape_log.csv", address(1), "none", "9"),
+        (3, "a_scrape_log.csv", f" {address(1)} ", "no_stats", "5"),
+        (1, "a_scrape_log.csv", address(1), "none", "99"),
+        (4, "b_scrape_log.csv", address(1), "none", "4"),
+        (None, "b_scrape_log.csv", address(2), "none", "7"),
+        (2, "b_scrape_log.csv", address(2), "none", "8"),
+        (5, None, None, "no_lineups", None),
+    ])
+    assert got == sorted(first)
+    later = run([(8, "a_scrape_log.csv", address(1), "none", "1"), (9, "a_scrape_log.csv", address(3), "none", "2"), (6, None, None, "no_stats", None)])
+    assert later == sorted([*first, row(name("a"), "3", 2, False)])
+    again = run([(10, "a_scrape_log.csv", address(1), "none", "3")], memory_ms=1)  # tried longer ago than that
+    assert again == sorted([*later, row(name("a"), "1", 3, True)])
+    assert not any("InPandas" in s for s in streams)
+
+
 def test_write_back_leaves_other_stems_alone(spark, tmp_path):
     path = str(tmp_path / "stored")
     rows = [(s, n, str(n % 3), f"v{n}", "x") for s in ("a", "b", "c") for n in range(9)] + [("a", 9, None, "no id", "x"), ("a", 10, "", "blank", "x")]
