@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,5 +63,15 @@ def test_all_kinds_of_rows(spark, library):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_workers_keep_no_texts_beyond_a_task(spark):
+    def held(batches):
+        use = bpe.coder(PATH)
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(use.memo) + len(use.memo.older) + len(use.pairs)] * batch.num_rows, pa.int64())], ["n"])
+
+    assert len(bpe.encode_decode(documents(spark), PATH, ["doc_id"], OUTPUTS).collect()) > 0
+    assert {r["n"] for r in spark.range(16, numPartitions=8).mapInArrow(held, "n bigint").collect()} == {0}
+
+
 def test_empty_table(spark):
     assert bpe.encode_decode(no_documents(spark), PATH, ["doc_id"], OUTPUTS).collect() == []

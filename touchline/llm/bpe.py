@@ -183,6 +183,12 @@ class Coder:
                 token = shorter[gone]
         return tokens
 
+    def forget(self) -> None:
+        """Drop what is remembered of texts: a Python worker outlives its stage, and later ones need the room."""
+        self.memo.clear()
+        self.memo.older = {}
+        self.pairs.clear()
+
     def pieces(self, text: str) -> list[str]:
         try:
             text.encode("latin-1")
@@ -274,6 +280,7 @@ def encode_decode(
                     kept + [pa.array(rows[c], KINDS[c]) for c in wanted],
                     [f"keep_{i}" for i in range(len(keep))] + [f"out_{c}" for c in wanted],
                 )
+        use.forget()
 
     made = moved.mapInArrow(run, schema)
     return made.select(

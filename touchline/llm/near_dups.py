@@ -44,6 +44,8 @@ SAMPLES, ROWS = 64, 4  # 16 bands of 4: a pair at 0.8 shares no band with a chan
 RARITY_BITS = 18
 POOL_BITS = 16
 BLOCK = 512
+# Bytes of texts taken at a time; their shingles need many times as much memory.
+PART_BYTES = 1 << 20
 # Pairs whose samples agree this much less often than asked are still verified (3.6 standard deviations).
 MARGIN = 0.18
 
@@ -65,7 +67,7 @@ def rarity(docs: DataFrame) -> np.ndarray:
         total, texts = np.zeros(1 << RARITY_BITS, np.int64), 0
         for batch in batches:
             texts += batch.num_rows
-            for part in slices(batch):
+            for part in slices(batch, limit=PART_BYTES):
                 found = words(*text_bytes(part.column("text")))
                 of = np.repeat(np.arange(part.num_rows), np.diff(found.first))
                 pairs = np.unique(of << np.int64(RARITY_BITS) | _slot(found.key))
@@ -180,7 +182,7 @@ def nodes(docs: DataFrame, table: Broadcast) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=PART_BYTES):
                 found = weighted_shingles(words(*text_bytes(part.column("text"))), table.value)
                 sampled = samples(found, part.num_rows)
                 texts = np.unique(found.of)
