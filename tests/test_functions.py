@@ -22,6 +22,14 @@ def test_to_int(values):
     assert values(to_int(A), ["29", " 17 ", "17.0", "", "x", None, "-3"]) == [29, 17, None, None, None, None, -3]
 
 
+def test_to_int_casts_no_text_without_a_digit(spark):
+    texts = spark.createDataFrame([("",), (" x ",), ("+",), (" +7 ",)], "a string")
+    whole = texts.select(to_int(A).alias("n"))
+    assert [r["n"] for r in whole.collect()] == [None, None, None, 7]
+    # a failing cast makes an exception for each row
+    assert "CASE WHEN RLIKE(a" in whole._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_base_path_and_query(values):
     rows = [
         "https://us.x.com/game/a-1/b-2/?mid=X",
