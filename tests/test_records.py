@@ -3,7 +3,9 @@ from __future__ import annotations
 import csv
 import io
 import random
+import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,6 +32,18 @@ def test_open_values_of_lines_from_whole_and_open_values(fields, text, inside, o
     assert records.ends_inside(doubled(text), True)
 
 
+LINES = st.lists(st.text(alphabet='a,"\r', max_size=12), min_size=1, max_size=8)
+
+
+@settings(max_examples=2000, deadline=None)
+@given(LINES, st.booleans())
+def test_open_values_of_many_lines_at_once(lines, inside):
+    states = [inside]
+    for line in lines:
+        states.append(records.ends_inside(line, states[-1]))
+    assert records.open_values(pa.array(lines, pa.string()), inside).tolist() == states
+
+
 def values(n, seed):
     random.seed(seed)
     bits = ["x", "", "a,b", 'say "hi"', "two\nlines", "\n", "three\n\nlines, \"quoted\"\n", "é", "long " * 20, '5"', "\"\n\""]
@@ -84,6 +98,18 @@ def test_quotes_inside_of_unquoted_values_are_characters(spark, tmp_path):
     assert got == {"1": '5" pipe', "2": 'x"y"z', "3": 'a "b" c'}
 
 
+def test_records_are_read_by_the_width_of_their_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("match_id,city,round,stadium\n1,x,r,s\n2,y\n3,z,r,s,more\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("city,match_id\nv,4\nw\nu,5,more\n", encoding="utf-8")
+    read = tables.read_csv_text(spark, str(tmp_path), ["match_id", "city", "stadium", "venue"])
+    got = sorted((r["city"], r["match_id"], r["stadium"], r["venue"], r["file_name"]) for r in read.collect())
+    assert got == [("u", "5", None, None, "b.csv"), ("v", "4", None, None, "b.csv"), ("w", None, None, None, "b.csv"),
+                   ("x", "1", "s", None, "a.csv"), ("y", "2", None, None, "a.csv"), ("z", "3", "s", None, "a.csv")]
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    widths = {schema.count("StructField(") for schema in re.findall(r"from_csv\((.*?)\(quote", plan)}
+    assert widths == {2, 4}, plan
+
+
 def test_no_files_give_no_rows(spark, tmp_path):
     assert tables.read_csv_text(spark, str(tmp_path), ["match_id"]).collect() == []
     assert tables.read_csv_text(spark, str(tmp_path)).columns == ["file_name"]

@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,9 @@ QUOTE = '"'
 QUOTED = re.compile(r'"(?:[^"]|"")*("?)[^,]*')
 REST_OF_QUOTED = re.compile(r'(?:[^"]|"")*("?)[^,]*')
 UNQUOTED = re.compile("[^,]*")
+# Lines whose quotes open and close values in turn: each that opens one is the first, behind a comma or behind another.
+TURNS_FROM_OUTSIDE = '^(?:(?:[^"]*,)?"[^"]*")*(?:(?:[^"]*,)?"[^"]*|[^"]*)$'
+TURNS_FROM_INSIDE = '^[^"]*(?:"(?:[^"]*,)?"[^"]*)*(?:"[^"]*)?$'
 
 
 def ends_inside(line: str, inside: bool) -> bool:
@@ -96,9 +100,29 @@ def _same_part(batch: pa.RecordBatch) -> Iterator[tuple[str, int, pa.Array]]:
             yield path.dictionary[int(codes[a])].as_py(), int(blocks[a]), batch.column("value").slice(a, b - a)
 
 
-def _with_quotes(lines: pa.Array) -> list[int]:
-    """The places of lines that hold a quote."""
-    return pc.indices_nonzero(pc.match_substring(lines, QUOTE)).to_pylist()
+def open_values(lines: pa.Array, inside: bool) -> np.ndarray:
+    """Whether a quoted value is open before each line and, as the last entry, after all of them.
+
+    Where quotes open and close values in turn, an odd number of them changes the state, which is summed up for all
+    lines at once; other lines are looked at one by one.
+    """
+    odd = pc.bit_wise_and(pc.count_substring(lines, QUOTE), 1).to_numpy(zero_copy_only=False).astype(bool)
+    state = np.concatenate([[inside], np.logical_xor.accumulate(odd) ^ inside])
+    plain = {False: _matches(lines, TURNS_FROM_OUTSIDE)}
+    if state[:-1].any() or not plain[False].all():
+        plain[True] = _matches(lines, TURNS_FROM_INSIDE)
+        good = np.where(state[:-1], plain[True], plain[False])
+        if not good.all():
+            first = int(np.argmin(good))
+            now = bool(state[first])
+            for i in range(first, len(lines)):
+                now = now ^ bool(odd[i]) if plain[now][i] else ends_inside(lines[i].as_py(), now)
+                state[i + 1] = now
+    return state
+
+
+def _matches(lines: pa.Array, pattern: str) -> np.ndarray:
+    return pc.match_substring_regex(lines, pattern).to_numpy(zero_copy_only=False)
 
 
 def parts(lines: DataFrame, multi_line: bool) -> list[Part]:
@@ -117,14 +141,11 @@ def parts(lines: DataFrame, multi_line: bool) -> list[Part]:
                     now["header"] = line if now["header"] is None else f"{now['header']}\n{line}"
                     now["open"] = multi_line and ends_inside(now["header"], False)
                     at += 1
-                quotes = _with_quotes(values) if multi_line else []
-                last = -1
-                for i in quotes:
-                    now["begins"] |= not now["inside"]  # a line before which no value is open begins a record
-                    line = values[i].as_py()
-                    now["outside"], now["inside"] = ends_inside(line, now["outside"]), ends_inside(line, now["inside"])
-                    last = i
-                now["begins"] |= not now["inside"] and last + 1 < len(values)
+                if multi_line:
+                    outside = open_values(values, now["outside"])
+                    inside = outside if now["inside"] == now["outside"] else open_values(values, now["inside"])
+                    now["begins"] |= not inside[:-1].all()  # a line before which no value is open begins a record
+                    now["outside"], now["inside"] = bool(outside[-1]), bool(inside[-1])
         names = Part._fields
         kinds = [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in out], k) for n, k in zip(names, kinds)], names)
@@ -162,20 +183,20 @@ def header_names(header: str) -> list[str]:
 WHOLE, PIECE = 0, 1
 
 
-def cut(lines: DataFrame, start_of: dict[tuple[str, int], Start], multi_line: bool) -> DataFrame:
-    """Records and pieces of records: (record, header, path, kind, owner, block).
+def cut(lines: DataFrame, start_of: dict[tuple[str, int], Start], multi_line: bool, kinds: Sequence[int]) -> DataFrame:
+    """Whole records, pieces of records, or both, as ``kinds`` says: (record, header, path, owner, block).
 
     Headers and blank lines between records are left out.
     """
     shared = lines.sparkSession.sparkContext.broadcast(start_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(texts: pa.Array, path: str, start: Start, kind: int, owner: int, block: int) -> pa.RecordBatch:
+        def rows(texts: pa.Array, path: str, start: Start, owner: int, block: int) -> pa.RecordBatch:
             n = len(texts)
             same = lambda value, kind: pa.repeat(pa.scalar(value, kind), n)
             return pa.RecordBatch.from_arrays(
-                [texts, same(start.header, pa.int32()), same(path, pa.string()), same(kind, pa.int32()), same(owner, pa.int64()), same(block, pa.int64())],
-                ["record", "header", "path", "kind", "owner", "block"],
+                [texts, same(start.header, pa.int32()), same(path, pa.string()), same(owner, pa.int64()), same(block, pa.int64())],
+                ["record", "header", "path", "owner", "block"],
             )
 
         def whole(texts: list[pa.Array], path: str, block: int, start: Start, first: bool) -> Iterator[pa.RecordBatch]:
@@ -185,7 +206,7 @@ def cut(lines: DataFrame, start_of: dict[tuple[str, int], Start], multi_line: bo
             done = pc.utf8_rtrim(done, characters="\r")
             done = done.filter(pc.not_equal(pc.utf8_trim_whitespace(done), ""))
             if len(done):
-                yield rows(done, path, start, WHOLE, block, block)
+                yield rows(done, path, start, block, block)
 
         key = start = None
         held: list[str] = []  # lines of a record that is not whole yet
@@ -193,9 +214,9 @@ def cut(lines: DataFrame, start_of: dict[tuple[str, int], Start], multi_line: bo
 
         def close() -> Iterator[pa.RecordBatch]:
             """What a part leaves open goes on in the next one."""
-            if held:
+            if held and PIECE in kinds:
                 path, block = key
-                yield rows(pa.array(["\n".join(held)]), path, start, PIECE, start.owner if foreign else block, block)
+                yield rows(pa.array(["\n".join(held)]), path, start, start.owner if foreign else block, block)
 
         for batch in batches:
             for path, block, values in _same_part(batch):
@@ -208,37 +229,35 @@ def cut(lines: DataFrame, start_of: dict[tuple[str, int], Start], multi_line: bo
                     start = shared.value[key]
                     inside = foreign = start.inside and multi_line
                     fresh = block == 0
-                begin = 0  # lines from here on are records of their own so far
+                n = len(values)
+                state = open_values(values, inside) if multi_line else np.zeros(n + 1, bool)
+                begins = np.flatnonzero(~state[:-1])  # lines at which a record begins
+                first = int(begins[0]) if len(begins) else n
                 done: list[pa.Array] = []
-                for i in _with_quotes(values) if multi_line else ():
-                    line = values[i].as_py()
-                    after = ends_inside(line, inside)
-                    if inside:
-                        held += [v.as_py() for v in values.slice(begin, i - begin)]
-                        held.append(line)
-                        begin = i + 1
-                        if not after:
-                            record = pa.array(["\n".join(held)])
-                            if foreign:
-                                yield rows(pc.utf8_rtrim(record, characters="\r"), path, start, PIECE, start.owner, block)
-                            else:
-                                done.append(record)
-                            held, foreign = [], False
-                    elif after:
-                        done.append(values.slice(begin, i - begin))
-                        held, begin = [line], i + 1
-                    inside = after
-                if inside:
-                    held += [v.as_py() for v in values.slice(begin)]
-                else:
-                    done.append(values.slice(begin))
-                if any(map(len, done)):
+                if inside:  # the rest of a record, or more of it
+                    held += values.slice(0, first).to_pylist()
+                    if not state[first]:
+                        record = pa.array(["\n".join(held)])
+                        if not foreign:
+                            done.append(record)
+                        elif PIECE in kinds:
+                            yield rows(pc.utf8_rtrim(record, characters="\r"), path, start, start.owner, block)
+                        held, foreign = [], False
+                inside = bool(state[-1])
+                last = int(begins[-1]) if inside and len(begins) else n  # where the record begins that stays open
+                if last < n:
+                    held = values.slice(last).to_pylist()
+                begins = begins[begins < last]
+                if len(begins) and WHOLE in kinds:
+                    lists = pa.ListArray.from_arrays(pa.array([*begins, last], pa.int32()), values)
+                    done.append(pc.binary_join(lists, "\n") if len(begins) < last - first else values.slice(first, last - first))
+                if WHOLE in kinds and any(map(len, done)):
                     yield from whole(done, path, block, start, fresh)
                     fresh = False
         if key is not None:
             yield from close()
 
-    schema = "record string, header int, path string, kind int, owner bigint, block bigint"
+    schema = "record string, header int, path string, owner bigint, block bigint"
     return lines.mapInArrow(run, schema)
 
 
@@ -250,20 +269,19 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str], glob: str, mult
     """
     lines = text_lines(spark, paths, glob)
     start_of, headers, crossing = starts(parts(lines, multi_line))
-    found = cut(lines, start_of, multi_line)
     names = ["record", "header", "path"]
     if not crossing:  # a piece is the rest of a file, then
-        return found.select(names), headers
-    pieces = found.where(F.col("kind") == PIECE)
+        return cut(lines, start_of, multi_line, (WHOLE, PIECE)).select(names), headers
+    pieces = cut(lines, start_of, multi_line, (PIECE,))
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block", "record"))), lambda p: p["record"]), "\n")
     joined = pieces.groupBy("path", "owner").agg(text.alias("record"), F.first("header").alias("header"))
-    return found.where(F.col("kind") == WHOLE).select(names).unionByName(joined.select(names)), headers
+    return cut(lines, start_of, multi_line, (WHOLE,)).select(names).unionByName(joined.select(names)), headers
 
 
-def by_header(headers: list[list[str]], name: str, value: Sequence[Column]) -> Column:
+def by_header(headers: dict[int, list[str]], name: str, value: Sequence[Column]) -> Column:
     """The value under a name, wherever a record's header has it; NULL where it has not."""
     places: dict[int, list[int]] = {}
-    for number, names in enumerate(headers):
+    for number, names in headers.items():
         if name in names:
             places.setdefault(names.index(name), []).append(number)
     if not places:
