@@ -116,3 +116,50 @@ def test_term_counts_equal_words():
     texts = [t for _, t in TEXTS] + ["", "é", "x", None]
     data, offsets = ranked.text_bytes(ranked.pa.array(texts))
     assert ranked.term_counts(data, offsets).tolist() == [len(word_list(t)) for t in texts]
+
+
+def test_waiting_ranges_are_not_copied_at_every_step(monkeypatch):
+    docs, items = made_documents()
+    docs, items = docs[:400], [(i, t) for i, t in items if i is not None and i < 30]
+    batch = lambda rows, name: ranked.pa.RecordBatch.from_pydict({name: [r[0] for r in rows], "text": [r[1] for r in rows]})
+    lengths, doc, key, tf = ranked.doc_terms(batch(docs, "doc_id"))
+    corpus = (len(docs), int(lengths.sum()))
+    ids = np.array([d[0] for d in docs])
+    block = ranked.block_of(ranked.block_row(ids, np.zeros(len(docs), bool), lengths, doc, key, tf, corpus))
+    keys, df = np.unique(key, return_counts=True)
+    _, item, wanted, _ = ranked.doc_terms(batch(items, "item_id"))
+    known = np.isin(wanted, keys)
+    item, wanted = item[known], wanted[known]
+    queries = ranked.Queries(item, wanted, ranked.weight(df[np.searchsorted(keys, wanted)], len(docs)))
+    monkeypatch.setattr(ranked, "STEP", 2)
+    monkeypatch.setattr(ranked, "STEP_PAIRS", 100)
+    monkeypatch.setattr(ranked, "GROUP_TERMS", 40, raising=False)
+    copied, made, largest = [0], [0], [0]
+    pick, halved = ranked.Ranges.pick, ranked.halved
+
+    def counted_pick(self, chosen):
+        copied[0] += len(self.pair_range)
+        largest[0] = max(largest[0], len(self.pair_range))
+        return pick(self, chosen)
+
+    def counted_halved(cells, ranges):
+        out = halved(cells, ranges)
+        made[0] += len(out.pair_range)
+        return out
+
+    monkeypatch.setattr(ranked.Ranges, "pick", counted_pick)
+    monkeypatch.setattr(ranked, "halved", counted_halved)
+    found = ranked.search(block, queries, ranked.NO_ANSWERS, len(items))
+    places = ranked.place_in_group(found.item) + 1
+    got = [(items[i][0], int(n), int(d), int(s)) for i, n, d, s in zip(found.item, places, found.doc, found.score)]
+    assert plain(got) == brute(docs, items)
+    assert copied[0] < 6 * made[0]
+    assert largest[0] < 400  # twice what one step halves, and some
+
+
+def test_groups_of_items_keep_items_together():
+    item = np.array([0, 0, 0, 2, 2, 5, 6, 6, 6, 6, 6, 9])
+    borders = list(ranked.item_groups(item, 4))
+    assert borders == [(0, 3), (3, 6), (6, 11), (11, 12)]
+    assert list(ranked.item_groups(item[:0], 4)) == []
+    assert list(ranked.item_groups(item, 100)) == [(0, 12)]

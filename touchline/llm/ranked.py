@@ -8,11 +8,13 @@ below; so values fall on the way down, and there is one node for each cell that
 are stored level by level as four bits that say which quarters hold anything, the value as difference
 to the parent, and the place inside the square.
 
-All items are searched in a block together. A partial answer is an item with a range of documents; it
-holds, for each term of the item, the node on the path to that term's row and the cells of the row
-that were met on the way. The sum of what each term can still give bounds the scores in the range.
-The most promising ranges of each item are halved first: the paths of all its terms go down together.
-A range whose rows are exhausted is scored exactly. Ranges that cannot enter an item's best any more
+Items are searched in a block in groups of a bounded number of terms. A partial answer is an item with a
+range of documents; it holds, for each term of the item, the node on the path to that term's row and the
+cells of the row that were met on the way. The sum of what each term can still give bounds the scores in
+the range. The most promising ranges of each item are halved first: the paths of all its terms go down
+together. Those that have to wait are left untouched on a stack until what came of the others is done, so
+that a range is copied a few times, however many wait, and at most a few sets wait for each level of the
+grid. A range whose rows are exhausted is scored exactly. Ranges that cannot enter an item's best any more
 are dropped; the best are carried from block to block within a task.
 
 ``build`` reads the documents twice (counts, then blocks) and shuffles nothing but two sums. Items go to
@@ -45,8 +47,8 @@ from touchline.session import new_folder, written
 BLOCK_DOCS, BLOCK_CELLS = 8192, 1 << 21
 CHUNK_TERMS = 1 << 16
 BEST = 10
-# Ranges of each item that are halved in one step, and pairs of ranges and terms that are worked on together.
-STEP, STEP_PAIRS = 32, 1 << 17
+# Ranges of each item that are halved in one step, pairs of ranges and terms that are worked on together, terms of items that are searched together.
+STEP, STEP_PAIRS, GROUP_TERMS = 32, 1 << 17, 1 << 11
 
 BITS = np.array([bin(i).count("1") for i in range(16)], np.int64)
 # BELOW[mask, quarter]: quarters before this one that hold anything.
@@ -112,7 +114,7 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
 
 
 class Treap(NamedTuple):
-    """Nodes level by level. ``row`` and ``column`` are the place of the node's own cell."""
+    """Nodes level by level. ``row`` and ``column`` are the place of the node's own cell. An impact is below 10**6."""
 
     height: int
     mask: np.ndarray
@@ -158,8 +160,8 @@ def treap_levels(row: np.ndarray, column: np.ndarray, value: np.ndarray) -> tupl
 
 def treap(height: int, sizes: list[int], mask: np.ndarray, delta: np.ndarray, place: np.ndarray) -> Treap:
     """The nodes as they are searched."""
-    first = np.concatenate([[1], 1 + np.cumsum(BITS[mask])[:-1]])
-    value, code = np.empty(len(mask), np.int64), np.empty(len(mask), np.uint64)
+    first = np.concatenate([[1], 1 + np.cumsum(BITS[mask])[:-1]]).astype(np.int32)
+    value, code = np.empty(len(mask), np.int32), np.empty(len(mask), np.uint64)
     at, above, square = 0, None, np.zeros(1, np.uint64)
     for level, n in enumerate(sizes):
         own = slice(at, at + n)
@@ -172,7 +174,7 @@ def treap(height: int, sizes: list[int], mask: np.ndarray, delta: np.ndarray, pl
             square = square[parent] << np.uint64(2) | quarter.astype(np.uint64)
         code[own] = square << np.uint64(2 * (height - level)) | place[own]
         above, at = own, at + n
-    return Treap(height, mask, first, value, gather(code >> np.uint64(1)), gather(code))
+    return Treap(height, mask, first, value, gather(code >> np.uint64(1)).astype(np.uint32), gather(code).astype(np.uint32))
 
 
 class Block(NamedTuple):
@@ -335,6 +337,11 @@ class Answers(NamedTuple):
         keep = order[place_in_group(item) < best]
         return Answers(*(a[keep] for a in (np.concatenate(p) for p in zip(self, other))))
 
+    def between(self, low: int, high: int) -> Answers:
+        """The answers of the items ``low`` to ``high``, which are numbered from 0."""
+        a, b = np.searchsorted(self.item, (low, high))
+        return Answers(self.item[a:b] - low, self.score[a:b], self.unknown[a:b], self.doc[a:b])
+
     def limits(self, items: int, best: int) -> tuple[np.ndarray, np.ndarray]:
         """Score and id of the last document of each item that has enough; without, 0 and the largest id."""
         score, doc = np.zeros(items, np.int64), np.full(items, np.iinfo(np.int64).max)
@@ -373,6 +380,8 @@ class Ranges(NamedTuple):
 
     def pick(self, chosen: np.ndarray) -> Ranges:
         """The ranges of a mask, in their order."""
+        if chosen.all():
+            return self
         number = np.cumsum(chosen) - 1
         pairs = chosen[self.pair_range]
         pair_number = np.cumsum(pairs) - 1
@@ -383,10 +392,6 @@ class Ranges(NamedTuple):
             pair_number[self.cell_pair[cells]], *(a[cells] for a in self[9:]),
         )
 
-    def joined(self, other: Ranges) -> Ranges:
-        shift = {4: len(self.item), 8: len(self.pair_range)}
-        return Ranges(*(np.concatenate([a, b + shift.get(i, 0)]) for i, (a, b) in enumerate(zip(self, other))))
-
 
 def started(cells: Treap, item: np.ndarray, row: np.ndarray, weights: np.ndarray) -> Ranges:
     """One range with all documents for each item."""
@@ -458,37 +463,59 @@ def scored(block: Block, done: Ranges) -> Answers:
     return Answers(done.item[in_range[starts]][found], score[found], block.unknown[column][found], block.ids[column][found])
 
 
-def search(block: Block, queries: Queries, answers: Answers, items: int, best: int = BEST) -> Answers:
-    """The best documents of each item, among those found before and those of the block."""
-    at = np.minimum(np.searchsorted(block.keys, queries.key), len(block.keys) - 1)
-    use = (block.keys[at] == queries.key) & (queries.weight > 0)
-    if not use.any():
-        return answers
-    cells = block.cells
-    open_ranges = started(cells, queries.item[use], block.rows[at[use]], queries.weight[use])
-    while len(open_ranges.item):
+def item_groups(item: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Borders in sorted item numbers that keep an item together; between two are at most ``most`` terms (or one item)."""
+    ends = np.append(np.flatnonzero(item[1:] != item[:-1]) + 1, len(item))
+    at = 0
+    while at < len(item):
+        to = int(ends[max(np.searchsorted(ends, at + most, "right") - 1, np.searchsorted(ends, at, "right"))])
+        yield at, to
+        at = to
+
+
+def search_group(block: Block, begun: Ranges, answers: Answers, items: int, best: int) -> Answers:
+    """The best documents of a group of items. The newest set of ranges is halved first; of it, the most promising ranges of each item."""
+    waiting = [begun]
+    while waiting:
+        ranges = waiting.pop()
         limit, limit_doc = answers.limits(items, best)
-        least = np.where(block.unknown[open_ranges.start], np.iinfo(np.int64).max, block.ids[open_ranges.start])
-        floor = limit[open_ranges.item]
-        hopeful = (open_ranges.bound > floor) | (open_ranges.bound == floor) & (floor > 0) & (least <= limit_doc[open_ranges.item])
-        open_ranges = open_ranges.pick(hopeful)
-        if not len(open_ranges.item):
-            break
-        order = np.lexsort((-open_ranges.bound, open_ranges.item))
-        chosen = order[place_in_group(open_ranges.item[order]) < STEP]
-        size = np.bincount(open_ranges.pair_range, minlength=len(open_ranges.item))
+        least = np.where(block.unknown[ranges.start], np.iinfo(np.int64).max, block.ids[ranges.start])
+        floor = limit[ranges.item]
+        ranges = ranges.pick((ranges.bound > floor) | (ranges.bound == floor) & (floor > 0) & (least <= limit_doc[ranges.item]))
+        ready = np.ones(len(ranges.item), bool)
+        ready[ranges.pair_range[ranges.pair_node >= 0]] = False
+        if ready.any():
+            answers = answers.with_best(scored(block, ranges.pick(ready)), best)
+            ranges = ranges.pick(~ready)
+        if not len(ranges.item):
+            continue
+        order = np.lexsort((-ranges.bound, ranges.item))
+        chosen = order[place_in_group(ranges.item[order]) < STEP]
+        size = np.bincount(ranges.pair_range, minlength=len(ranges.item))
         chosen = chosen[: max(1, int(np.searchsorted(np.cumsum(size[chosen]), STEP_PAIRS)))]
-        now = np.zeros(len(open_ranges.item), bool)
+        now = np.zeros(len(ranges.item), bool)
         now[chosen] = True
-        ready = np.ones(len(now), bool)
-        ready[open_ranges.pair_range[open_ranges.pair_node >= 0]] = False
-        if ready.any():
-            answers = answers.with_best(scored(block, open_ranges.pick(ready)), best)
-        rest = open_ranges.pick(~now & ~ready)
-        open_ranges = rest.joined(halved(cells, open_ranges.pick(now & ~ready)))
+        if not now.all():
+            waiting.append(ranges.pick(~now))
+        waiting.append(halved(block.cells, ranges.pick(now)))
     return answers
 
 
+def search(block: Block, queries: Queries, answers: Answers, items: int, best: int = BEST) -> Answers:
+    """The best documents of each item, among those found before and those of the block."""
+    at = np.minimum(np.searchsorted(block.keys, queries.key), len(block.keys) - 1)
+    use = (block.keys[at] == queries.key) & (queries.weight > 0)
+    item, row, weights = queries.item[use], block.rows[at[use]], queries.weight[use]
+    found = []
+    low = 0
+    for a, b in item_groups(item, GROUP_TERMS):
+        high = int(item[b]) if b < len(item) else items
+        own = search_group(block, started(block.cells, item[a:b] - low, row[a:b], weights[a:b]), answers.between(low, high), high - low, best)
+        found.append(own._replace(item=own.item + low))
+        low = high
+    return Answers(*(np.concatenate(p) for p in zip(*found))) if found else answers
+
+
 def item_chunks(terms: DataFrame, most: int) -> Iterator[list]:
     """The ids of all items in order, so many at a time that their terms are at most ``most`` (or one item).
 
