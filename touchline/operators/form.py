@@ -82,8 +82,7 @@ def form_features(
         *rows.columns,
         *[F.lit(0 if c == "form_matches" else None).cast(rolled.schema[c].dataType).alias(c) for c in features],
     )
-    of_side = lambda side: F.max_by(F.struct(*features), F.col("side") == side).alias(f"_{side}")
-    wide = rolled.unionByName(timeless).groupBy(*match).agg(*[of_side(side) for side in ("home", "away")])
-    return wide.select(
-        *match[:-1], *[F.col(f"_{side}.{c}").alias(f"{side}_{c}") for c in features for side in ("home", "away")]
-    )
+    # a match has one row of each side; numbers (unlike structs) are aggregated by hash, without sorting all rows
+    of_side = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c))).alias(f"{side}_{c}")
+    wide = rolled.unionByName(timeless).groupBy(*match).agg(*[of_side(s, c) for c in features for s in ("home", "away")])
+    return wide.drop("_own")
