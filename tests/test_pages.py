@@ -11,7 +11,8 @@ from touchline.operators import stats
 from touchline.operators.elements import elements
 from touchline.operators.lineups import parse_lineups
 from touchline.operators.links import archive_seasons, match_links, results_season
-from touchline.operators.reshape import kept_pairs, long_to_wide
+from touchline.functions.numbers import pct_count
+from touchline.operators.reshape import kept_pairs, long_to_wide, mapped_label, stored_value
 from touchline.operators.stats import parse_stats, stat_rows
 from touchline.operators.summary import parse_summary
 from touchline.plans import page_queries
@@ -191,6 +192,36 @@ def test_stats_strategies(parse):
             "home_yellow_cards", "away_yellow_cards", "home_red_cards", "away_red_cards"}
 
 
+def test_statistics_are_read_for_many_pages_at_once(spark):
+    """The rules on values are no expressions on one page's arrays, and give what the column functions give."""
+    plan = parse_stats(spark.createDataFrame([("x",)], "html string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan.lower()
+    texts = ["", "0", "-1.5", " 7 ", "12%%", "% 3 %", "1.", "\u0663%", "\u0663 (\u0661/\u0662)", "87% (541/623)", "76 %  ( 1/2)", "8%\xa0(1/2)",
+             "9 9 %", "5% (1/2) 6% (3/4)", "1\x1c%", "12 (5/x) 3%", "a -3. b", "--3", "x", "1\n2"]
+    raw = stats.pa.array(texts)
+    for stat in ("passes", "xg", "fouls_committed"):
+        rows = spark.createDataFrame(list(enumerate(texts)), "n int, raw string")
+        read = pct_count(F.col("raw"))
+        expected = rows.select(stored_value(F.lit(stat), F.col("raw")), read["pct"], read["successful"], read["total"]).collect()
+        stored, counted, parts = stats.stored_values(stats.np.full(len(texts), stats.STAT_NUMBER[stat]), raw)
+        assert stored.to_pylist() == [r[0] for r in expected]
+        if stat == "passes":
+            assert list(zip(*[p.to_pylist() for p in parts])) == [tuple(r)[1:] for r in expected] and len(counted) == len(texts)
+    labels = [" CORNERS", "Expected goals (xG)", "Big\u212a duels won x", "", "Accurate passes!", "shots", "Throw\xa0ins", "xG\xa0"]
+    rows = spark.createDataFrame([(label,) for label in labels], "label string")
+    expected = [r[0] for r in rows.select(mapped_label(F.col("label"))).collect()]
+    names = [*schemas.STATS, None]  # -1 is the last
+    assert [names[n] for n in stats.label_statistics(stats.pa.array(labels))] == expected
+
+
+def test_a_later_strategy_counts_only_on_pages_without_a_real_value(parse):
+    table = "<table><tr><td>4</td><th>Passes</th><td>2% (3/4)</td></tr></table>"
+    pages = [stat_row("87% (541/623)", "Passes", "1%") + table, stat_row("0", "Corners", "0") + table, table + "<p>5</p><p>Fouls</p><p>6</p>"]
+    names = ["home_passes", "home_passes_total", "away_passes", "away_passes_total", "home_corners", "home_fouls_committed"]
+    got = [[row[name] for name in names] for row in parse(parse_stats, *pages)]
+    assert got == [["87", "623", "1", "", "", ""], ["", "", "2", "4", "0", ""], ["", "", "2", "4", "", ""]]
+
+
 def test_strategy_rows_are_numbered(parse, spark):
     pages = spark.createDataFrame([(0, stat_row("1", "Fouls", "2"))], "n int, html string")
     assert [tuple(r) for r in stat_rows(pages).where("strategy = 1").collect()] == [(0, 1, 0, "1", "Fouls", "2")]
@@ -281,6 +312,21 @@ def test_plain_pages_are_read_at_once_as_the_parser_reads_them():
     assert read == [True, True, False, True, True]  # the third has single quotes
 
 
+def test_pages_of_all_kinds_are_cut_at_their_bytes_or_by_the_parser():
+    pages = ["a > b<p>x</p>", "<p>&lt;\xa0&nbsp;</p><i>\t</i>", "<script>'<p>'</script><b>y</b>", "<p>open", "z\0<b></b>", None, "<title>t</title>", "<title><b>t</b></title>",
+             "</i><p></p>", "<b><i>\n \n</b></i>", "<p", "<TITLE>q</TITLE>", ">", "<!-- c --><hr>", ""]
+    parser = elements_module._Nodes()
+    for page in pages:
+        parser.add_page(page)
+    tags = elements_module._PlainTags()
+    html = elements_module.pa.array(["<u>", *pages, "</u>"])[1:-1]
+    assert elements_module._nodes_of(tags, html).to_pylist() == parser.to_array().to_pylist()
+    cut = elements_module._cut_at_tags(tags, elements_module.pc.fill_null(html, ""))
+    assert cut.places.tolist() == [0, 1, 3, 5, 6, 8, 9, 12, 13, 14]
+    groups = elements_module._groups_of(tags, elements_module.pc.fill_null(html, ""))
+    assert [places.tolist() for places, _ in groups] == [[0, 1, 5, 6, 12, 13, 14, 2], [3, 4, 7, 8, 9, 10, 11]]
+
+
 def test_rows_of_pages_in_one_batch_stay_apart():
     table = "<table><tr><td>1</td><td>Fouls</td><td>2</td></tr></table>"
     pages = [stat_row("1", "Corners", "2"), None, f"<div class='statRow'>3<b>Fouls</b>4</div>{table}", "<p>5</p>", "<p>Fouls</p><p>6</p>",
