@@ -208,3 +208,13 @@ def test_urls_wait_without_python_for_each_of_them(spark, tmp_path):
     assert run(["c"], ["d", "c"], hour) == ({"c", "d"}, {"e"}, set())
     assert run(["a"], ["c", "x"], hour) == (set(), {"e"}, set())
     assert len(found) == 6
+
+
+def test_urls_of_a_wide_table_are_not_broadcast(spark, tmp_path):
+    urls = spark.range(50).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"))
+    empty = [F.lit(None).cast("string").alias(f"c{i}") for i in range(120)]
+    urls.where("url < 'u3'").select("url", *empty).write.parquet(str(tmp_path / "saved"))
+    rest = ingest.without_page(urls, str(tmp_path / "saved"))
+    rows = rest.collect()
+    assert "Broadcast" not in rest._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["url"] for r in rows) == sorted(f"u{i}" for i in range(50) if f"u{i}" >= "u3")

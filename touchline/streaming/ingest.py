@@ -79,6 +79,16 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def without_page(listed: DataFrame, saved: str) -> DataFrame:
+    """The listed URLs that the table at the path ``saved`` does not have.
+
+    Spark takes one column of a wide table for a small part of its size. Here most of the others are NULL, so the URLs are
+    nearly all of it, and by that estimate any number of them would be broadcast through the driver.
+    """
+    urls = listed.sparkSession.read.schema("url string").parquet(saved)
+    return listed.join(urls.hint("merge"), "url", "left_anti")
+
+
 def collect_stream(
     urls: DataFrame, pages: DataFrame, domain: str, matches: str, logs: str, checkpoint: str
 ) -> StreamingQuery:
@@ -96,8 +106,9 @@ def collect_stream(
         listed = written(listed.distinct(), "listed")
         here = pages.join(listed, "url", "left_semi")
         write_batch(collect_matches(here, domain), f"{matches}_text", batch_id)
-        saved = spark.read.parquet(f"{matches}_text/batch={batch_id}")
-        write_batch(listed.join(saved.select("url"), "url", "left_anti"), waiting, batch_id)
+        folder = f"{matches}_text/batch={batch_id}"
+        saved = spark.read.parquet(folder)
+        write_batch(without_page(listed, folder), waiting, batch_id)
         write_batch(match_table(saved), matches, batch_id)
         write_batch(log_rows(saved), logs, batch_id)
 
