@@ -6,18 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from touchline import schemas
+from touchline.functions.numbers import non_empty, pct_count
 from touchline.operators import elements as elements_module
 from touchline.operators import stats
 from touchline.operators.elements import elements
 from touchline.operators.lineups import parse_lineups
 from touchline.operators.links import archive_seasons, match_links, results_season
-from touchline.functions.numbers import pct_count
 from touchline.operators.reshape import kept_pairs, long_to_wide, mapped_label, stored_value
 from touchline.operators.stats import parse_stats, stat_rows
+from touchline.operators.status import any_value
 from touchline.operators.summary import parse_summary
 from touchline.plans import page_queries
 from touchline.plans.collect import collect_matches, match_table
 from touchline.plans.links import match_lists
+from touchline.sources.tables import typed
 
 
 @pytest.fixture(scope="module")
@@ -268,6 +270,25 @@ def test_lineups(parse):
     ]
 
 
+def test_lineup_texts_and_field_counts_are_no_expressions_on_nodes(spark):
+    pages = spark.createDataFrame([("u", "<p>x</p>")], "url string, html string")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "nodes" not in plan(parse_lineups(pages)) and "rating_texts" in plan(parse_lineups(pages))
+    texts = spark.createDataFrame([("", None, "0"), ("x", " ", "0"), (None, "", "")], "a string, b string, c string")
+    counts = texts.select(non_empty(["a", "b", "c"]), any_value(["a", "b"]), any_value(["a", "c"], ("", "0")), any_value(["c"]))
+    assert "lambdafunction" not in plan(counts)
+    assert [tuple(r) for r in counts.collect()] == [(1, False, False, True), (3, True, True, True), (0, False, False, False)]
+
+
+def test_texts_are_stripped_once_before_they_are_typed(spark):
+    names = [f.name for f in schemas.MATCH.fields if f.dataType.typeName() != "string"]
+    rows = spark.createDataFrame([(" 7\xa0",), ("1.6",), (" ",), ("x",), (None,)], "v string")
+    table = typed(rows.select(*[F.col("v").alias(c) for c in names]), schemas.MATCH)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("trim(") <= len(names)
+    assert [r["home_corners"] for r in table.collect()] == [7, 2, None, None, None]
+
+
 def test_collection_status_and_fields(spark):
     url = lambda n: f"https://us.site.com/game/a/b{n}/?mid=M{n}"
     title = "<title>A v B - x</title>"
